@@ -12,6 +12,8 @@ from .common import Scratch
 
 #: Most bits of one level; a list that needs more is refused rather than broadcast.
 MAX_LEVEL_BITS = 1 << 27
+#: False-positive rate from the second level on; lower than a half, as that saves levels at a few bits a key.
+LATER_RATE = 1 / 16
 
 
 def host_of(url: Column) -> Column:
@@ -105,7 +107,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame, name: str = "cascade",
     levels: list[Level] = []
     inside, outside, count = listed, None, n
     for k in range(1, max_levels + 1):
-        rate = min(0.5, n * math.sqrt(0.5) / size) if k == 1 else 0.5
+        rate = min(0.5, n * math.sqrt(0.5) / size) if k == 1 else LATER_RATE
         levels.append(_level(inside, count, rate, k))
         passed = levels[-1].holds(F.col("key"))
         if outside is None:
