@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, token_counts, url_filter
+from . import exact_dedup, language_id, mixing, packing, pii, token_counts, toxicity, url_filter
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +21,48 @@ URL_RULES = [
 ]
 
 
+#: Shares of expected tokens that the mixture is to have.
+MIX_TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
+
+
+def mixture(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    model = mixing.fit_domains(docs, mixing.label_domains(labels))
+    return mixing.mix(docs, model, MIX_TARGETS)
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def held_out(col: str = "doc_id"):
+    """Rows whose labels nothing is learned from."""
+    return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").filter(~held_out())
+    scored = toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), labels, threshold=0.7)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    return language_id.identify(docs, language_id.fit(docs), host_levels=[F.col("source")])
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified(read_table(spark, sf_dir, "documents"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of raw pages: the text model of documents, the page's lang attribute, its suffix and host."""
+    host = url_filter.host_of(F.col("url"))
+    declared = F.regexp_extract("html", r"<html[^>]*\slang=[\"']?([A-Za-z]+)", 1)
+    body = F.regexp_replace(F.regexp_replace("html", r"(?s)<(script|style)\b.*?</\1>", " "), r"<[^>]*>|&[a-z]+;", " ")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", body.alias("text"), declared.alias("declared"), F.substring_index(host, ".", -1).alias("suffix"), host.alias("host"))
+    model = language_id.fit(read_table(spark, sf_dir, "documents"))
+    return language_id.identify(pages, model, "page_id", "text", F.col("declared"), [F.col("suffix"), F.col("host")])
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = token_counts.token_lengths(read_table(spark, sf_dir, "documents"), TOKENIZER)
     return token_counts.suffix_sums(token_counts.length_histogram(lengths))
@@ -30,6 +73,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), TOKENIZER, 1024)
 
@@ -40,8 +87,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
+    "op4_language_id": op4_language_id,
+    "language_id_pages": language_id_pages,
     "op5_token_counts": op5_token_counts,
     "op7_url_filters": op7_url_filters,
+    "op8_pii": op8_pii,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
