@@ -20,7 +20,7 @@ RATE, FLOOR, TOXIC_WEIGHT = 2.0, 0.02, 0.4
 #: n-grams count that occur in at least this share of the toxic training texts (and in three).
 SHARE = 0.015
 #: Most training rows of each class, and the longest text used for training.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 800, 1600, 20_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 800, 1200, 4000
 
 
 def _words(texts: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +86,8 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 80, seed: int = 1)
         return Model(np.zeros(BUCKETS, np.float32), float(np.log((rate + 1e-3) / (1 - rate + 1e-3))), rate)
     grams, starts, _, first = _words(pa.array(texts, pa.large_string()))
     gram = np.concatenate([b for _, b in grams])
-    word = np.concatenate([_owner(at, starts) for at, _ in grams])
+    word = np.concatenate([_owner(at, starts).astype(np.int32) for at, _ in grams])
+    del grams
     per_word = np.maximum(np.bincount(word, minlength=len(starts)), 1)
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
@@ -95,9 +96,9 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 80, seed: int = 1)
     text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
     length = np.maximum(np.diff(first), 1)
     weight = np.where(labels == 1, TOXIC_WEIGHT / labels.sum(), (1 - TOXIC_WEIGHT) / (1 - labels).sum())
-    owner = text_of[word]
-    toxic = labels[owner] == 1
-    pairs = np.unique(owner[toxic].astype(np.int64) * BUCKETS + gram[toxic])
+    toxic = (labels[text_of] == 1)[word]
+    pairs = np.unique(text_of[word[toxic]] * BUCKETS + gram[toxic])
+    del toxic
     seen = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= max(3, SHARE * labels.sum())
     for step in range(rounds):
         value = seen * (e @ (w[:, 1] - w[:, 0]))
