@@ -56,3 +56,38 @@ def whole_text(col: str | Column = "text") -> Column:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
+    """(id, component) of every vertex that has an edge; `edges` is (a, b). The component is its smallest id.
+
+    Large-star and small-star steps in turn, each a grouped minimum joined back to
+    the edges, until the edges are stars; the edges of a round are a written table.
+    """
+
+    def step(pairs: DataFrame, larger: bool) -> DataFrame:
+        both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        if not larger:
+            both = both.filter("v < u")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        joined = both.join(least, "u")
+        if larger:
+            out = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        else:
+            out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        return out.filter("a <> b").distinct()
+
+    def state(t: DataFrame) -> tuple:
+        return tuple(t.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("a", "b"), 24))).first())
+
+    now = scratch.table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
+    before = state(now)
+    while rounds and before[0]:
+        rounds -= 1
+        new = scratch.table(step(step(now, True), False), "edges")
+        scratch.drop(now)
+        now, after = new, state(new)
+        if after == before:
+            break
+        before = after
+    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

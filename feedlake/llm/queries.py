@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing, pii, token_counts, toxicity, url_filter
+from . import exact_dedup, language_id, mixing, ngram_join, packing, pii, token_counts, toxicity, url_filter
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,6 +68,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(lengths))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -92,6 +96,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "language_id_pages": language_id_pages,
     "op5_token_counts": op5_token_counts,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_url_filters": op7_url_filters,
     "op8_pii": op8_pii,
     "op9_packing": op9_packing,
