@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, ngram_join, packing, pii, token_counts, toxicity, url_filter
+from . import exact_dedup, language_id, mixing, neighbours, ngram_join, packing, pii, token_counts, toxicity, url_filter
 from .common import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def identified(docs: DataFrame) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs), host_levels=[F.col("source")])
 
@@ -93,6 +97,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
+    "op3_near_dedup": op3_near_dedup,
     "op4_language_id": op4_language_id,
     "language_id_pages": language_id_pages,
     "op5_token_counts": op5_token_counts,
