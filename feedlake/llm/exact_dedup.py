@@ -70,10 +70,15 @@ def exact_dedup(
 
 
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The rows of `docs`, all columns, that exact_dedup keeps: one for each text."""
-    found = exact_dedup(docs, id_col, text_col, keep).filter("kept")
-    h = content_hash(whole_text(text_col))
-    kept = found.select(F.col(id_col).alias("_id"), F.col("content_hash").alias("_h"))
-    rows = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]) & (h == kept["_h"]), "left_semi")
-    repeats = docs.groupBy(id_col, h.alias("_h")).count().filter("count > 1").limit(1).count()
-    return rows.dropDuplicates([id_col, text_col]) if repeats else rows
+    """The rows of `docs`, all columns, that exact_dedup keeps: one for each text.
+
+    The ids to drop are written first, so that Spark knows their size when it
+    chooses how to join them.
+    """
+    scratch = Scratch(docs.sparkSession, "keep_exact")
+    found = exact_dedup(docs, id_col, text_col, keep).filter("NOT kept").select(F.col(id_col).alias("_id"), F.col("content_hash").alias("_h"), "keep_id")
+    dropped = scratch.table(found, "dropped")
+    keeper = F.col("_id").eqNullSafe(F.col("keep_id"))
+    gone = dropped.filter(~keeper)
+    rows = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (content_hash(whole_text(text_col)) == gone["_h"]), "left_anti")
+    return rows.dropDuplicates([id_col, text_col]) if dropped.filter(keeper).limit(1).count() else rows
