@@ -17,7 +17,7 @@ from .subword import gram_buckets, joined, word_spans
 #: Buckets of byte trigrams, most training rows and their longest text, n-grams that a text counts for at most, weight of a parent in a host's prior.
 BUCKETS, TRAIN_ROWS, TRAIN_CHARS, EVIDENCE, PARENT = 1 << 14, 3000, 20_000, 60.0, 20.0
 #: The answer for texts in none of the languages, and its prior.
-UNKNOWN, UNKNOWN_PRIOR = "und", 0.01
+UNKNOWN, UNKNOWN_PRIOR = "und", 0.001
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class TextModel:
     def log_likelihoods(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(mean log likelihood of each text under each column, trigrams of each text)."""
         data, cuts = joined(texts)
-        data, _, _ = word_spans(data)
+        data, _, _ = word_spans(data, digits=False)
         grams = gram_buckets(data, range(3, 4), BUCKETS - 1)
         at, bucket = grams[0] if grams else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         first = np.searchsorted(at, cuts)
@@ -48,7 +48,7 @@ def train_text_model(rows: list[tuple[str, str]]) -> TextModel:
     counts = np.zeros((BUCKETS, len(languages) + 1))
     for k, language in enumerate(languages):
         data, _ = joined(pa.array([t for t, y in rows if y == language], pa.large_string()))
-        for _, bucket in gram_buckets(word_spans(data)[0], range(3, 4), BUCKETS - 1):
+        for _, bucket in gram_buckets(word_spans(data, digits=False)[0], range(3, 4), BUCKETS - 1):
             counts[:, k] = np.bincount(bucket, minlength=BUCKETS)
     table = np.log(counts + 0.3) - np.log((counts + 0.3).sum(axis=0))
     return TextModel(languages, table.astype(np.float32))
@@ -108,15 +108,15 @@ def identify(
     schema = f"id {kind}, n bigint, ll array<double>, declared string" + "".join(f", {c} string" for c in levels)
     rows = docs.select(*cols).mapInArrow(run, schema)
 
-    def posterior(*logs) -> Column:
-        terms = [sum((a[k] for a in logs[1:]), logs[0][k]) for k in range(size)]
-        top = F.greatest(*terms)
-        raw = [F.exp(x - top) for x in terms]
-        total = sum(raw[1:], raw[0])
-        return F.array(*[x / total for x in raw])
+    def together(*logs) -> Column:
+        return F.array(*[sum((a[k] for a in logs[1:]), logs[0][k]) for k in range(size)])
+
+    def mass(logs: Column) -> Column:
+        return F.aggregate(F.transform(logs, lambda x: F.exp(x - F.array_max(logs))), F.lit(0.0), lambda a, x: a + x)
 
     text = [F.col("ll")[k] for k in range(size)]
-    rows = scratch.table(rows.withColumn("p", F.when(F.col("n") > 0, posterior(text, base))), "likelihoods")
+    alone = together(text, base)
+    rows = scratch.table(rows.withColumn("p", F.when(F.col("n") > 0, F.transform(alone, lambda x: F.exp(x - F.array_max(alone)) / mass(alone)))), "likelihoods")
     sums = [F.coalesce(F.sum(F.col("p")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(size)]
 
     total = rows.filter("n > 0").agg(*sums).first()
@@ -140,8 +140,8 @@ def identify(
             keys = levels[: j + 1]
             part = finest.groupBy(*keys).agg(*[F.sum(f"s{k}").alias(f"t{k}") for k in range(size)])
             on = [prior[c].eqNullSafe(part[c]) for c in keys]
-            mass = sum((F.col(f"t{k}") for k in range(1, size)), F.col("t0")) + PARENT
-            new = [F.when(prior[keys[-1]].isNull(), parent[k]).otherwise((F.col(f"t{k}") + PARENT * parent[k]) / mass).alias(f"q{k}") for k in range(size)]
+            volume = sum((F.col(f"t{k}") for k in range(1, size)), F.col("t0")) + PARENT
+            new = [F.when(prior[keys[-1]].isNull(), parent[k]).otherwise((F.col(f"t{k}") + PARENT * parent[k]) / volume).alias(f"q{k}") for k in range(size)]
             prior = prior.join(part, on).select(*[prior[c] for c in levels], *new)
             parent = [F.col(f"q{k}") for k in range(size)]
         prior = prior.select(*[F.col(c).alias(f"_{c}") for c in levels], *[f"q{k}" for k in range(size)])
@@ -149,17 +149,14 @@ def identify(
         parent = [F.coalesce(F.col(f"q{k}"), F.lit((v + 1.0) / weight)) for k, v in enumerate(total)]
     fused.append([F.log(x) for x in parent])
 
-    def best(p: Column) -> Column:
-        return F.array_max(F.array(*[F.struct(p[k].alias("p"), F.lit(-k).alias("k")) for k in range(size)]))
-
-    label = lambda b: F.element_at(F.array(*[F.lit(x) for x in names]), 1 - b["k"])
-    found = found.withColumn("b", best(posterior(*fused))).withColumn("tb", best(F.col("p")))
-    empty = F.col("n") == 0
-    out = found.select(
+    names_column = F.array(*[F.lit(x) for x in names])
+    label = lambda logs: F.element_at(names_column, F.array_position(logs, F.array_max(logs)).cast("int"))
+    empty, logs = F.col("n") == 0, F.col("logs")
+    out = found.withColumn("logs", together(*fused)).select(
         F.col("id").alias(id_col),
-        F.when(empty, UNKNOWN).otherwise(label(F.col("b"))).alias("language"),
-        F.when(empty, F.lit(0.0)).otherwise(F.col("b.p")).alias("confidence"),
-        F.when(empty, UNKNOWN).otherwise(label(F.col("tb"))).alias("text_language"),
+        F.when(empty, UNKNOWN).otherwise(label(logs)).alias("language"),
+        F.when(empty, F.lit(0.0)).otherwise(1 / mass(logs)).alias("confidence"),
+        F.when(empty, UNKNOWN).otherwise(label(F.col("p"))).alias("text_language"),
     )
     return out.withColumn("accepted", (F.col("language") != UNKNOWN) & (F.col("confidence") >= least))
 

@@ -11,6 +11,8 @@ _LOWER[65:91] += 32
 #: What words are made of: ASCII letters and digits, and every byte above ASCII.
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
 
 
 def tables(n: int, seed: int) -> np.ndarray:
@@ -28,9 +30,9 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _LOWER[data], cuts - cuts[0]
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes with separators as blanks, starts, ends) of the words; data ends with a blank or is empty."""
-    is_word = _WORD[data]
+def word_spans(data: np.ndarray, digits: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes with separators as blanks, starts, ends) of the words, of letters alone without `digits`; data ends with a blank or is empty."""
+    is_word = _WORD[data] if digits else _WORD[data] & ~_DIGIT[data]
     edge = np.diff(np.concatenate([[False], is_word, [False]]).astype(np.int8))
     return np.where(is_word, data, np.uint8(32)), np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
