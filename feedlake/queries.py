@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from feedlake.plans import feed_queries
+
+QUERIES: dict = {**feed_queries.QUERIES}
+ORACLES: dict = {**feed_queries.ORACLES}
