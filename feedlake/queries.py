@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from feedlake.plans import feed_queries
+from feedlake.plans import feed_queries, governance_queries, sheet_queries
 
-QUERIES: dict = {**feed_queries.QUERIES}
-ORACLES: dict = {**feed_queries.ORACLES}
+_PARTS = (sheet_queries, feed_queries, governance_queries)
+QUERIES: dict = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
+ORACLES: dict = {k: v for p in _PARTS for k, v in p.ORACLES.items()}
