@@ -33,7 +33,7 @@ class TextModel:
         data, _, _ = word_spans(data, digits=False)
         grams = gram_buckets(data, range(3, 4), BUCKETS - 1)
         at, bucket = grams[0] if grams else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        first = np.searchsorted(at, cuts)
+        first = np.searchsorted(at + 1, cuts)
         n = np.diff(first)
         out = np.zeros((len(n), self.table.shape[1]))
         for k in range(self.table.shape[1]):

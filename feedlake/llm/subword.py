@@ -21,13 +21,13 @@ def tables(n: int, seed: int) -> np.ndarray:
 
 
 def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(lower-cased bytes of all texts, each followed by a blank; offsets of the texts). Null counts as empty."""
+    """(a blank and the lower-cased bytes of all texts, each followed by a blank; offsets of the texts). Null counts as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     spaced = pc.binary_join_element_wise(texts, pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
     buffers = spaced.buffers()
     cuts = np.frombuffer(buffers[1], np.int64, len(spaced) + 1, spaced.offset * 8)
     data = np.frombuffer(buffers[2], np.uint8)[cuts[0] : cuts[-1]] if len(spaced) else np.zeros(0, np.uint8)
-    return _LOWER[data], cuts - cuts[0]
+    return np.concatenate([[np.uint8(32)], _LOWER[data]]), cuts - cuts[0] + 1
 
 
 def word_spans(data: np.ndarray, digits: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
