@@ -23,7 +23,7 @@ def discover(spark: SparkSession, root: str, glob: str, missing_ok: bool = True)
     """
     try:
         files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{glob}")
-        return files.select(plain_path(F.col("path")).alias("file_path"), F.col("path").alias("source_path"), "length", F.col("modificationTime").alias("modified"))
+        return files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("path").alias("source_path"), "length", F.col("modificationTime").alias("modified"))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND" and missing_ok:
             return spark.createDataFrame([], LISTING)

@@ -21,7 +21,7 @@ LINES = 5000
 
 def read_archives(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(path, content) of archive files. One archive is one row: up to 2 GB each."""
-    return spark.read.format("binaryFile").load(paths).select(plain_path(F.col("path")).alias("path"), "content")
+    return spark.read.format("binaryFile").load(paths).select(plain_path(F.col("_metadata.file_path")).alias("path"), "content")
 
 
 def list_members(archives: DataFrame) -> DataFrame:
