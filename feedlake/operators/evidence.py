@@ -130,6 +130,18 @@ def verify_reuse(reused: DataFrame) -> DataFrame:
     return reused.withColumn("verified", F.col("fingerprint") == reuse_fingerprint(F.col("stage_id"), F.col("reused_from_run_id")))
 
 
+def read_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """(run_id, status, started_at, ended_at, file_path, modified) of one JSON manifest for each file; unreadable ones are left out."""
+    schema = "run_id string, status string, started_at string, ended_at string"
+    runs = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(folder)
+    return runs.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("modified")).filter("run_id IS NOT NULL")
+
+
+def latest_run(runs: DataFrame, key: str) -> DataFrame:
+    """(key, run_id): the run modified last in each group, the larger id where times tie."""
+    return runs.groupBy(key).agg(F.max_by("run_id", F.struct("modified", "run_id")).alias("run_id"))
+
+
 def latest_runs(runs: DataFrame, n: int) -> DataFrame:
     """The n newest runs of (run_id, modified): a top-n, not a sort of all."""
     return runs.orderBy(F.col("modified").desc(), F.col("run_id").desc()).limit(n)

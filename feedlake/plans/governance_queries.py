@@ -274,8 +274,8 @@ def _runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_run(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
-    return o.groupBy(F.col("o_custkey").alias("dir")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("run_id"))
+    runs = table(spark, sf, "orders").select(F.col("o_custkey").alias("dir"), F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").alias("modified"))
+    return E.latest_run(runs, "dir")
 
 
 def runs_top_n(spark: SparkSession, sf: str) -> DataFrame:

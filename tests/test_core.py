@@ -215,3 +215,10 @@ def test_listing_lines(spark):
     lines = spark.createDataFrame([("-----A feed, Code 213",), (" 1 of 2 - P.A.D240101.T1 (24.35 MB) Last Updated: 2024-01-02T03:04:05.678Z",), ("noise",)], "value string")
     assert tuple(state.parse_codes(lines).first()) == ("A feed", 213)
     assert tuple(state.parse_listing(lines).first())[:3] == (1, 2, "P.A.D240101.T1")
+
+
+def test_manifests_that_cannot_be_read_are_left_out(spark, tmp_path):
+    put(tmp_path, "a.json", '{\n "run_id": "r1",\n "status": "completed"\n}')
+    put(tmp_path, "b.json", "{ no")
+    rows = evidence.read_runs(spark, str(tmp_path)).collect()
+    assert [(r["run_id"], r["status"]) for r in rows] == [("r1", "completed")]
