@@ -95,7 +95,7 @@ def identify(
     levels = [f"host{k}" for k in range(len(host_levels or []))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in split_batches(batches, "t", 16_000_000):
+        for b in split_batches(batches, "t", 3_000_000):
             ll, n = model.log_likelihoods(b.column("t"))
             ll = ll * np.minimum(n, EVIDENCE)[:, None]
             ll -= ll.max(axis=1, keepdims=True)

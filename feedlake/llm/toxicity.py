@@ -157,7 +157,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in split_batches(batches, "t", 8_000_000):
+        for b in split_batches(batches, "t", 4_000_000):
             s = model.scores(b.column("t"))
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["id", "score", "predicted"])
 
