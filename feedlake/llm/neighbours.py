@@ -15,10 +15,12 @@ from .common import Scratch, connected_components
 
 #: Neighbours in a list, random splits that start the graph, hyperplanes of a split, most rows compared in one start group.
 LIST, SPLITS, PLANES, GROUP = 12, 6, 8, 512
-#: Rounds at most, share of changed lists at which descent ends, queries of the audit, and the recall it must show.
-ROUNDS, STILL, AUDIT, RECALL = 8, 0.01, 200, 0.98
-#: Rows of a block when the members of a saturated component are compared.
-BLOCK = 1024
+#: Rounds at most, share of changed lists at which descent ends, linked vectors that make an audit (of all, of a size class), and the recall it must show.
+ROUNDS, STILL, AUDIT, CLASS_AUDIT, RECALL = 8, 0.01, 50, 20, 0.98
+#: Rows compared at once, rows of a block of the exact search, and most components whose centres are sent to the tasks.
+BLOCK, WIDE, CENTRES = 1024, 4096, 4096
+#: Starts of the graph before all classes are compared with all.
+ATTEMPTS = 3
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -54,7 +56,8 @@ def unit_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def _start(vectors: DataFrame, count: int, seed: int) -> DataFrame:
     """(id, other, sim): the best LIST of each vector among those on its side of random hyperplanes.
 
-    Groups larger than GROUP are cut by a hash of the id: they only start the graph.
+    Groups larger than GROUP are cut by a hash of the id, another one in each split: they
+    only start the graph.
     """
     planes = PLANES + max(0, int(np.ceil(np.log2(max(count, 1) / (GROUP << PLANES)))) if count > GROUP << PLANES else 0)
 
@@ -71,7 +74,7 @@ def _start(vectors: DataFrame, count: int, seed: int) -> DataFrame:
 
     keyed = vectors.mapInArrow(sides, "key bigint, id bigint, v binary")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    parts = keyed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / GROUP)))
+    parts = keyed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("id", "key", F.lit(seed)), F.ceil(F.col("n") / GROUP)))
 
     def best(table: pa.Table) -> pa.Table:
         ids, x = table.column("id").to_numpy(), _matrix(table.column("v").combine_chunks())
@@ -147,71 +150,158 @@ def neighbour_graph(vectors: DataFrame, scratch: Scratch, count: int, seed: int
     return lists
 
 
-def _blocks(members: DataFrame, scratch: Scratch, least: float) -> DataFrame:
-    """(id, n): exact numbers of links within each component of `members` (component, id, v).
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """A spanning forest of the pairs: no more rows than vertices."""
+    parent: dict[int, int] = {}
 
-    Enlarged lists of saturated vectors: a component is cut into blocks of about BLOCK rows
-    by a hash of the id, each pair of blocks is compared in one task, and what leaves a task is a
-    number for each vector, never a pair.
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(up, up)
+        return x
+
+    out = []
+    for a, b in pairs.tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _touched(rows: DataFrame, centres: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], least: float) -> DataFrame:
+    """(id, near): the wanted components in which a vector may have links.
+
+    By the triangle inequality of angles none lies further from a component's centre
+    than its radius and the angle of a link. `centres` has, by length of the
+    vectors, the components, their centres and radii.
     """
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
-    rows = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("m") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    pairs = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), F.col("block"), "id", "v")
+    reach = float(np.arccos(min(max(least, -1.0), 1.0))) + 1e-6
 
-    def count(table: pa.Table) -> pa.Table:
-        ids, x, block = table.column("id").to_numpy(), _matrix(table.column("v").combine_chunks()), table.column("block").to_numpy()
-        first = block == table.column("x")[0].as_py()
-        same = table.column("x")[0].as_py() == table.column("y")[0].as_py()
-        left, right = np.flatnonzero(first), np.flatnonzero(first if same else ~first)
-        n = np.zeros(len(ids), np.int64)
-        for a in range(0, len(left), BLOCK):
-            near = x[left[a : a + BLOCK]] @ x[right].T >= least
-            if same:
-                near[np.arange(len(near)), np.arange(a, a + len(near))] = False
-            n[left[a : a + BLOCK]] += near.sum(axis=1)
-            if not same:
-                n[right] += near.sum(axis=0)
-        return pa.table({"id": ids, "n": n})
-
-    counts = pairs.groupBy("component", "x", "y").applyInArrow(count, "id bigint, n bigint")
-    return counts.groupBy("id").agg(F.sum("n").alias("n"))
-
-
-def audit(vectors: DataFrame, degrees: DataFrame, least: float, queries: int = AUDIT) -> tuple[int, int]:
-    """(links found, links there are) of a bounded sample of vectors: those of the smallest id hashes that have links or not."""
-    sample = vectors.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(queries).collect()
-    if not sample:
-        return 0, 0
-    asked = np.array([r["id"] for r in sample])
-    q = np.stack([np.frombuffer(r["v"], np.float64) for r in sample if len(r["v"]) == len(sample[0]["v"])])
-    asked = np.array([r["id"] for r in sample if len(r["v"]) == len(sample[0]["v"])])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size = pc.binary_length(b.column("v"))
+            for n in pc.unique(size).to_pylist():
+                if n in centres:
+                    some = b.filter(pc.equal(size, n))
+                    names, c, radius = centres[n]
+                    i, j = np.nonzero(np.arccos(np.clip(_matrix(some.column("v")) @ c.T, -1, 1)) <= radius + reach)
+                    yield pa.RecordBatch.from_arrays([some.column("id").take(pa.array(i)), pa.array(names[j])], ["id", "near"])
+
+    return rows.select("id", "v").mapInArrow(run, "id bigint, near bigint")
+
+
+def _radii(rows: DataFrame, scratch: Scratch, components: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
+    """Components, centres (the vector of the smallest id) and radii by length of the vectors; None where there are more than CENTRES."""
+    found = rows.join(components.select(F.col("component").alias("id")), "id", "left_semi").select("id", "v").limit(CENTRES + 1).collect()
+    if len(found) > CENTRES:
+        return None
+    at = {r["id"]: np.frombuffer(r["v"], np.float64) for r in found}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(asked), np.int64)
         for b in batches:
-            same = b.filter(pa.array([len(x) == q.shape[1] * 8 for x in b.column("v").to_pylist()], pa.bool_()))
-            if same.num_rows:
-                near = q @ _matrix(same.column("v")).T >= least
-                near &= asked[:, None] != same.column("id").to_numpy()[None, :]
-                total += near.sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(total)], ["id", "n"])
+            c = b.column("component").to_pylist()
+            cos = np.array([np.frombuffer(v, np.float64) @ at[k] for k, v in zip(c, b.column("v").to_pylist(), strict=True)], float)
+            yield pa.RecordBatch.from_arrays([b.column("component"), pa.array(np.arccos(np.clip(cos, -1, 1)))], ["component", "angle"])
+
+    radius = {r["component"]: r["r"] for r in rows.filter("wanted").select("component", "v").mapInArrow(run, "component bigint, angle double").groupBy("component").agg(F.max("angle").alias("r")).collect()}
+    out = {}
+    for n in {len(v) for v in at.values()}:
+        names = [k for k, v in at.items() if len(v) == n]
+        out[n * 8] = (np.array(names, np.int64), np.stack([at[k] for k in names]), np.array([radius[k] for k in names]))
+    return out
+
+
+def _search(rows: DataFrame, scratch: Scratch, least: float) -> DataFrame:
+    """(id, n, a, b): exact links of the wanted vectors with all others; `rows` is (id, v, m, component, wanted).
+
+    n is, for a wanted vector, the number of its links, and for another one that of its
+    links with wanted ones, each counted m times; (a, b) are components that
+    links join. Wanted vectors lie in blocks of about WIDE rows, and the others that may
+    link to a block's components are dealt in parts of about WIDE rows: a task compares one block with
+    one part, and what leaves it are numbers for its rows and a forest of its components.
+    """
+    wanted = rows.filter("wanted").select("id", "component", F.length("v").alias("size"))
+    sizes = wanted.groupBy("component", "size").agg(F.count(F.lit(1)).alias("c"))
+    bins = max(1, -(-wanted.count() // WIDE))
+    part = F.pmod(F.xxhash64("id", F.lit(11)), F.ceil(F.col("c") / WIDE))
+    small = F.pmod(F.xxhash64("component", F.lit(12)), F.lit(bins))
+    block = F.when(F.col("c") >= WIDE, F.xxhash64("size", "component", part)).otherwise(F.xxhash64("size", small))
+    members = scratch.table(wanted.join(sizes, ["component", "size"]).select("id", "component", "size", block.alias("block")), "members")
+    blocks = members.select("component", "size", "block").distinct()
+    centres = _radii(rows, scratch, members.select("component").distinct())
+    if centres is None:
+        pairs = rows.select("id", F.length("v").alias("size")).join(blocks.select("size", "block").distinct(), "size").select("id", "block")
+    else:
+        pairs = _touched(rows, centres, least).join(blocks.select(F.col("component").alias("near"), "block"), "near").select("id", "block").distinct()
+    pairs = scratch.table(pairs, "touched")
+    parts = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / WIDE).alias("parts"))
+    right = pairs.join(parts, "block").select("block", F.pmod(F.xxhash64("id", F.lit(13)), F.col("parts")).alias("part"), "id", F.lit(False).alias("left"))
+    left = members.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "id", F.lit(True).alias("left"))
+    dealt = left.unionByName(right).join(rows, "id")
 
-    true = {r["id"]: r["n"] for r in vectors.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()}
-    got = {r["id"]: r["n_links"] for r in degrees.filter(F.col("id").isin([int(i) for i in asked])).collect()}
-    return sum(min(got.get(i, 0), n) for i, n in true.items()), sum(true.values())
+    def count(table: pa.Table) -> pa.Table:
+        get = lambda c: table.column(c).to_numpy()
+        ids, m, component, wanted, first = get("id"), get("m"), get("component"), get("wanted"), get("left")
+        x = _matrix(table.column("v").combine_chunks())
+        here, there = np.flatnonzero(first), np.flatnonzero(~first)
+        n, joins = np.zeros(len(ids), np.int64), np.zeros((0, 2), np.int64)
+        for a in range(0, len(here), BLOCK):
+            i = here[a : a + BLOCK]
+            near = (x[i] @ x[there].T >= least) & (ids[i][:, None] != ids[there][None, :])
+            n[i] += near @ m[there]
+            n[there] += (m[i] @ near) * ~wanted[there]
+            y, z = np.nonzero(near & (component[i][:, None] != component[there][None, :]))
+            joins = _forest(np.unique(np.concatenate([joins, np.stack([component[i][y], component[there][z]], 1)]), axis=0))
+        some = np.flatnonzero(n)
+        none = lambda k: pa.nulls(k, pa.int64())
+        cols = [(pa.array(ids[some]), none(len(joins))), (pa.array(n[some]), none(len(joins))), (none(len(some)), pa.array(joins[:, 0])), (none(len(some)), pa.array(joins[:, 1]))]
+        return pa.table({c: pa.chunked_array(list(v)) for c, v in zip(("id", "n", "a", "b"), cols, strict=True)})
+
+    return dealt.groupBy("block", "part").applyInArrow(count, "id bigint, n bigint, a bigint, b bigint")
+
+
+def audit(fresh: DataFrame, edges: DataFrame, labels: DataFrame, wanted: DataFrame) -> tuple[float, int]:
+    """(recall, vectors): the lowest mean recall of a vector's links, of all vectors and in any size class, and the vectors it rests on.
+
+    `fresh` has links (id, other) of a start that the graph had no part in, so a
+    share of all links of every kind, however rare they are; each vector that has some is asked
+    which of them are known. Vectors of `wanted` were compared with all. A size class is the
+    power of two of the largest component at a vector's links; one with fewer than CLASS_AUDIT
+    vectors counts only among all.
+    """
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    size = labels.join(sizes, "component").select("id", "size")
+    sure = wanted.select("id", F.lit(True).alias("sure"))
+    asked = fresh.join(edges.select("id", "other", F.lit(True).alias("known")), ["id", "other"], "left").join(sure, "id", "left")
+    asked = asked.join(sure.toDF("other", "sure2"), "other", "left").join(size, "id", "left").join(size.toDF("other", "size2"), "other", "left")
+    each = asked.groupBy("id").agg(
+        F.avg(F.coalesce("known", "sure", "sure2", F.lit(False)).cast("double")).alias("recall"),
+        F.floor(F.log2(F.max(F.greatest(F.coalesce("size", F.lit(1)), F.coalesce("size2", F.lit(1)))))).alias("class"),
+    )
+    rows = each.groupBy("class").agg(F.sum("recall").alias("found"), F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in rows)
+    means = [r["found"] / r["n"] for r in rows if r["n"] >= CLASS_AUDIT] + ([sum(r["found"] for r in rows) / total] if total else [])
+    return min(means, default=0.0), total
+
+
+def _linked(lists: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """(id, other): edges at the threshold, both ways, once each."""
+    near = lists.filter(F.col("sim") >= least).select("id", "other")
+    return scratch.table(near.unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "near")
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95) -> DataFrame:
     """One row per input row: (id_col, n_links, component_id, kept).
 
-    Vectors with cosine >= `least` (double precision) link. The neighbour graph starts
+    Vectors with cosine >= `least` (double precision) link. Equal vectors are one class
+    with a size, so copies fill no lists. The neighbour graph of the classes starts
     with random hyperplane groups and is refined by comparing neighbours of
-    neighbours. Links are its edges at the threshold, both ways. A vector whose whole
-    list lies at the threshold is saturated: its component, in which its links lie, is
-    compared block by block, so that no list is too short. Recall is measured on a
-    bounded sample against all rows; below RECALL the graph is started anew with other
-    hyperplanes and the edges of both are used.
+    neighbours. Links are its edges at the threshold, both ways. A vector with LIST links
+    or more is saturated, as its list may be too short: it is compared with all
+    classes that can lie near its component, in that component or not. Recall is
+    measured for each vector on the links of another start; below RECALL, or with fewer than AUDIT
+    vectors that have links, the graph is started anew and the edges of all are used.
+    If the third start doesn't show it either, all classes are compared with all.
 
     Defined cases: null, zero and non-finite vectors (or with such components) have no
     links and are their own component, as have null ids no component; vectors of
@@ -221,25 +311,37 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     """
     scratch = Scratch(table.sparkSession, "neighbours")
     vectors = scratch.table(unit_vectors(table, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "vectors")
-    count = vectors.count()
+    classes = scratch.table(vectors.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("m")), "classes")
+    reps = classes.select("id", "v")
+    count = classes.count()
     found: list[DataFrame] = []
-    degrees = labels = None
-    for attempt in range(3):
-        lists = neighbour_graph(vectors, scratch, count, attempt)
-        near = lists.filter(F.col("sim") >= least).select("id", "other")
-        found.append(scratch.table(near.unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "near"))
+    edges = labels = full = None
+    complete = False
+    for attempt in range(ATTEMPTS):
+        lists = neighbour_graph(reps, scratch, count, attempt)
+        found.append(_linked(lists, least, scratch))
         edges = scratch.table(reduce(DataFrame.unionByName, found).distinct(), "edges")
         labels = scratch.table(connected_components(edges.select(F.col("id").alias("a"), F.col("other").alias("b")), scratch), "labels")
-        full = near.groupBy("id").count().filter(F.col("count") >= LIST).select("id")
-        saturated = scratch.table(labels.join(full, "id", "left_semi").select("component").distinct(), "saturated")
-        members = labels.join(saturated, "component", "left_semi").join(vectors, "id")
-        counts = scratch.table(_blocks(members, scratch, least), "counts")
-        degrees = edges.groupBy("id").agg(F.count(F.lit(1)).alias("n_edges")).join(counts, "id", "left")
-        degrees = scratch.table(degrees.select("id", F.coalesce("n", "n_edges").alias("n_links")), "degrees")
-        hit, there = audit(vectors, degrees, least)
-        if hit >= RECALL * there:
+        full = scratch.table(edges.groupBy("id").count().filter(F.col("count") >= LIST).select("id"), "full")
+        fresh = _linked(_start(reps, count, ATTEMPTS + attempt), least, scratch)
+        recall, asked = audit(fresh, edges, labels, full)
+        complete = asked >= AUDIT and recall >= RECALL
+        if complete or count <= WIDE:
             break
+        found.append(fresh)
+    wanted = full.select("id", F.lit(True).alias("wanted")) if complete else reps.select("id", F.lit(True).alias("wanted"))
+    rows = classes.join(labels, "id", "left").join(wanted, "id", "left")
+    rows = scratch.table(rows.select("id", "v", "m", F.coalesce("component", "id").alias("component"), F.coalesce("wanted", F.lit(False)).alias("wanted")), "rows")
+    exact = scratch.table(_search(rows, scratch, least), "exact")
+    joined = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(exact.filter("a is not null").select("a", "b"))
+    labels = scratch.table(connected_components(joined, scratch), "labels")
+    searched = rows.filter("wanted").select("id")
+    rest = edges.join(searched, "id", "left_anti").join(searched.toDF("other"), "other", "left_anti").join(classes.select(F.col("id").alias("other"), "m"), "other")
+    links = rest.select("id", F.col("m").alias("n")).unionByName(exact.filter("id is not null").select("id", "n")).groupBy("id").agg(F.sum("n").alias("n"))
+    answers = classes.join(links, "id", "left").join(labels, "id", "left")
+    answers = answers.select("v", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    answers = scratch.table(vectors.join(answers, "v").select("id", "n_links", "component"), "answers")
     ids = F.col(id_col).cast("bigint")
-    out = table.select(F.col(id_col)).join(degrees.join(labels, "id"), ids == F.col("id"), "left")
+    out = table.select(F.col(id_col)).join(answers, ids == F.col("id"), "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce(F.col("component"), ids))
     return out.select(id_col, F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == ids, F.lit(True)).alias("kept"))

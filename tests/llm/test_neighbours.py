@@ -1,5 +1,6 @@
 import numpy as np
 
+from feedlake.llm import neighbours
 from feedlake.llm.neighbours import near_duplicates
 
 
@@ -51,3 +52,29 @@ def test_empty_and_repeated(spark):
     rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (None, [1.0, 0.0])]
     got = near_duplicates(table(spark, rows)).collect()
     assert len(got) == 4 and all(r["n_links"] == 0 for r in got)
+
+
+def answers(spark, rows):
+    return {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_duplicates(table(spark, rows)).collect()}
+
+
+def test_lists_full_of_own_copies_still_meet(spark):
+    rng = np.random.default_rng(2)
+    a = np.eye(32)[0]
+    b = 0.96 * a + np.sqrt(1 - 0.96**2) * np.eye(32)[1]
+    rows = [(i, a + rng.normal(scale=1e-4, size=32)) for i in range(30)] + [(100 + i, b + rng.normal(scale=1e-4, size=32)) for i in range(30)]
+    rows += [(200 + i, v) for i, v in enumerate(rng.normal(size=(100, 32)))] + [(1000 + i, a) for i in range(700)]
+    assert answers(spark, rows) == brute(rows)
+
+
+def test_search_beyond_the_component_counts_both_sides(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "AUDIT", 0)
+    monkeypatch.setattr(neighbours, "RECALL", 0.0)
+    rng = np.random.default_rng(4)
+    a = np.eye(32)[0]
+    b = 0.96 * a + np.sqrt(1 - 0.96**2) * np.eye(32)[1]
+    rows = [(i, a + rng.normal(scale=1e-4, size=32)) for i in range(30)] + [(100 + i, b + rng.normal(scale=1e-4, size=32)) for i in range(30)]
+    rows += [(200 + i, v) for i, v in enumerate(rng.normal(size=(100, 32)))]
+    assert answers(spark, rows) == brute(rows)
+    monkeypatch.setattr(neighbours, "CENTRES", 0)
+    assert answers(spark, rows) == brute(rows)
