@@ -78,3 +78,14 @@ def test_search_beyond_the_component_counts_both_sides(spark, monkeypatch):
     assert answers(spark, rows) == brute(rows)
     monkeypatch.setattr(neighbours, "CENTRES", 0)
     assert answers(spark, rows) == brute(rows)
+
+
+def test_audit_sees_the_loss_of_small_groups_and_of_everything(spark):
+    large = [(i, j) for i in range(40) for j in range(40) if i != j]
+    pairs = [(100 + 2 * k + d, 101 + 2 * k - d) for k in range(15) for d in (0, 1)]
+    frame = lambda rows: spark.createDataFrame(rows, "id bigint, other bigint")
+    labels = spark.createDataFrame([(i, 0) for i in range(40)], "id bigint, component bigint")
+    none = frame([]).select("id")
+    assert neighbours.audit(frame(large + pairs), frame(large), labels, none) == (0.0, 70)
+    assert neighbours.audit(frame(large + pairs), frame(large + pairs), labels, none) == (1.0, 70)
+    assert neighbours.audit(frame([]), frame(large), labels, none)[1] < neighbours.AUDIT
