@@ -7,15 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
 from .encode import split_batches
 from .subword import gram_buckets, joined, word_spans
 
-#: Buckets of byte trigrams, most training rows and their longest text, n-grams that a text counts for at most, weight of a parent in a host's prior.
-BUCKETS, TRAIN_ROWS, TRAIN_CHARS, EVIDENCE, PARENT = 1 << 14, 3000, 20_000, 60.0, 20.0
+#: Buckets of byte trigrams, training rows of all languages and of one at least, their longest text, n-grams that a text counts for at most, weight of a parent in a host's prior.
+BUCKETS, TRAIN_ROWS, TRAIN_LEAST, TRAIN_CHARS, EVIDENCE, PARENT = 1 << 14, 3000, 100, 20_000, 60.0, 20.0
+#: Parts of a language in the first step of picking its training rows.
+PARTS = 64
 #: The answer for texts in none of the languages, and its prior.
 UNKNOWN, UNKNOWN_PRIOR = "und", 0.001
 
@@ -55,12 +57,25 @@ def train_text_model(rows: list[tuple[str, str]]) -> TextModel:
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, label): TRAIN_ROWS labelled rows, those of the smallest id hashes; only their ids are broadcast."""
-    labelled = docs.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    picked = labelled.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(TRAIN_ROWS).distinct()
-    texts = labelled.select(id_col, F.col(text_col).alias("t"), F.col(label_col).alias("y"))
-    texts = texts.filter(F.length("t") <= TRAIN_CHARS)
-    return texts.join(F.broadcast(picked), id_col).select("t", "y")
+    """(text, label): the same number of distinct ids of each labelled language, those of the smallest hashes.
+
+    TRAIN_ROWS are shared by the languages, but none has fewer than TRAIN_LEAST (or
+    all it has). An id counts once in a language, with one text. Texts over TRAIN_CHARS
+    characters come after the others and count by their beginning, so a language of long texts
+    alone is known too. Only the ids picked are broadcast.
+    """
+    labelled = docs.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    labelled = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(label_col).alias("y")).withColumn("h", F.xxhash64("t"))
+    ids = labelled.groupBy("y", "id").agg(F.min(F.struct((F.length("t") > TRAIN_CHARS).alias("long"), "h")).alias("text"))
+    languages = labelled.agg(F.count_distinct("y")).first()[0]
+    most = max(TRAIN_LEAST, TRAIN_ROWS // max(languages, 1))
+    order = [F.col("text.long"), F.xxhash64("id"), F.col("id")]
+    picked = ids.withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(PARTS)))
+    for keys in (("y", "part"), ("y",)):
+        picked = picked.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("k") <= most)
+    picked = picked.select("y", "id", F.col("text.h").alias("h"))
+    texts = labelled.withColumn("t", F.substring("t", 1, TRAIN_CHARS)).join(F.broadcast(picked), ["y", "id", "h"])
+    return texts.groupBy("y", "id").agg(F.min("t").alias("t")).select("t", "y")
 
 
 def identify(

@@ -93,3 +93,13 @@ def test_mixing_edges(spark, docs):
         got = mixing.mix(docs, mixing.fit_domains(docs, some), {"x": 0.5, "y": 0.5}).collect()
         assert len(got) == docs.count() and all(r["rate"] >= 0 for r in got)
     assert mixing.mix(docs.limit(0), mixing.fit_domains(docs, labelled), {"x": 1.0}).count() == 0
+
+
+def test_every_labelled_language_has_a_model(spark):
+    rows = [(k, "the and of this that with", "en") for k in range(7000)] + [(7, "the and of this that with", "en")] * 4000
+    rows += [(9000 + k, "der und die das mit nicht", "de") for k in range(2)] + [(9100 + k, "och att det som en " * 2000, "sv") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    sample = language_id.training_rows(docs, "doc_id", "text", "lang").groupBy("y").count().collect()
+    assert {r["y"]: r["count"] for r in sample} == {"en": 1000, "de": 2, "sv": 2}
+    got = language_id.identify(docs.filter("doc_id >= 9000"), language_id.fit(docs)).collect()
+    assert all(r["text_language"] == ("de" if r["doc_id"] < 9100 else "sv") for r in got)
