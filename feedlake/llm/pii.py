@@ -30,6 +30,8 @@ _LOOSE = {
     "card": re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){11,18}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+])\(?[0-9][\x20().0-9-]{6,18}[0-9](?![0-9])"),
 }
+#: One of each must be in a text that has an address of the loose shape.
+_AT, _DOT = ("@", "(at)", "[at]", " at "), (".", "(dot)", "[dot]", " dot ")
 _BEFORE = re.compile(r"(\S+)\s+(\S+)\s*\Z")
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
@@ -84,21 +86,30 @@ def _pattern(text: str, start: int) -> str | None:
     return re.sub("[0-9]+", "#", f"{m[1]} {m[2]}".lower()) if m else None
 
 
+def _value(kind: int, span: str) -> str:
+    """What a span names, the same for all its shapes."""
+    span = span.lower()
+    if KINDS[kind] == "email":
+        span = re.sub(r"\(at\)|\[at\]| at ", "@", span)
+        return re.sub(r"\s+", "", re.sub(r"\(dot\)|\[dot\]| dot ", ".", span))
+    if KINDS[kind] == "ip":
+        return ".".join(re.findall("[0-9]+", span))
+    return re.sub(r"[\s().-]+", "", span)
+
+
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds (base spans) and candidates of looser shape that touch no base span, each with its pattern."""
+    """Seeds (base spans) and candidates of looser shape that touch no base span, each with its pattern, if any."""
     out, taken = [], [(a, b) for a, _, b in base]
     spans = [(a, k, b, True) for a, k, b in base]
-    if _DIGITS.search(text) or "@" in text or " at " in text:
-        for k, kind in enumerate(KINDS):
-            if kind == "email" and not ("@" in text or "at" in text and "dot" in text):
-                continue
+    digits = _DIGITS.search(text) is not None
+    for k, kind in enumerate(KINDS):
+        if any(s in text for s in _AT) and any(s in text for s in _DOT) if kind == "email" else digits:
             for m in _LOOSE[kind].finditer(text):
                 if not any(a < m.end() and m.start() < b for a, b in taken):
                     spans.append((m.start(), k, m.end(), False))
     for a, k, b, seed in spans:
-        if pattern := _pattern(text, a):
-            value = re.sub(r"[\s().-]+", "", text[a:b].lower())
-            out.append({"kind": k, "start": a, "end": b, "seed": seed, "pattern": pattern, "value": hashlib.blake2b(value.encode(), digest_size=16).hexdigest()})
+        value = hashlib.blake2b(_value(k, text[a:b]).encode(), digest_size=16).hexdigest()
+        out.append({"kind": k, "start": a, "end": b, "seed": seed, "pattern": _pattern(text, a), "value": value})
     return out
 
 
@@ -133,28 +144,31 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def learned(each: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, value) of candidates that confident patterns reach.
-
-    Edges of the pattern-instance graph are distinct (kind, pattern, value). In
-    each round a pattern scores the sum of its instances' scores over their number
-    and DOUBT, where at least SUPPORT different instances already count; an
-    instance that is no seed scores the best of its patterns. Seeds stay at 1.
-    Copies of a text add no weight, since instances are counted once.
+    """(kind, value) of candidates that are seeds elsewhere or that confident patterns reach.
+
+    Edges of the pattern-instance graph are distinct (kind, pattern, value); an
+    instance may have one without a pattern. In each round a pattern scores the sum of
+    its instances' scores over their number and DOUBT, where at least SUPPORT different
+    instances already count; an instance that is nowhere a seed scores the best of its
+    patterns. Instances that are a seed anywhere stay at 1 behind every pattern. Copies
+    of a text add no weight, since instances are counted once.
     """
     scratch = Scratch(each.sparkSession, "pii-graph")
-    edges = each.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed"))
-    edges = scratch.table(edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(0.0)), "edges")
+    edges = scratch.table(each.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")), "pairs")
+    known = edges.filter("seed").select("kind", "value", F.lit(True).alias("known")).distinct()
+    edges = edges.join(known, ["kind", "value"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    edges = scratch.table(edges.withColumn("score", F.when(F.col("known"), 1.0).otherwise(0.0)), "edges")
     for k in range(rounds):
-        patterns = edges.groupBy("kind", "pattern").agg(
+        patterns = edges.filter("pattern is not null").groupBy("kind", "pattern").agg(
             (F.sum("score") / (F.count(F.lit(1)) + DOUBT)).alias("conf"), F.count_if(F.col("score") >= CONFIDENT).alias("support")
         )
         good = patterns.filter((F.col("support") >= SUPPORT) & (F.col("conf") > 0))
-        reached = edges.filter(~F.col("seed")).join(good, ["kind", "pattern"]).groupBy("kind", "value").agg(F.max("conf").alias("best"))
+        reached = edges.filter(~F.col("known")).join(good, ["kind", "pattern"]).groupBy("kind", "value").agg(F.max("conf").alias("best"))
         reached = scratch.table(reached, f"reached{k}")
         if reached.limit(1).count() == 0:
-            return reached.select("kind", "value")
+            break
         edges = edges.join(reached, ["kind", "value"], "left").select(
-            "kind", "pattern", "value", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce(F.col("best"), F.lit(0.0))).alias("score")
+            "kind", "pattern", "value", "seed", "known", F.when(F.col("known"), 1.0).otherwise(F.coalesce(F.col("best"), F.lit(0.0))).alias("score")
         )
         edges = scratch.table(edges, f"edges{k + 1}")
     return edges.filter((F.col("score") >= CONFIDENT) & ~F.col("seed")).select("kind", "value").distinct()
@@ -167,7 +181,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the learned contexts add, as kind:start:end (code points, end exclusive) by
     start and kind, comma-joined. Contexts are the two words before a span; a
     context that stands before several different seeds, and before little else,
-    makes candidates of looser shape behind it count too.
+    makes candidates of looser shape behind it count too, as does a base span of the
+    same identifier anywhere.
 
     Defined cases: null and empty texts have no spans; spans of different kinds may
     overlap; added spans never overlap base spans; repeated rows are answered each;

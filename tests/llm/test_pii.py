@@ -55,3 +55,19 @@ def test_contexts_find_identifiers_that_the_patterns_miss(spark):
     assert got[100]["spans"] == "phone:12:24" and got[100]["n_phone"] == 0
     assert got[101]["spans"] == "" and got[102]["spans"] == ""
     assert all(got[k]["spans"].startswith("phone:") for k in range(40))
+
+
+def test_addresses_without_digits_or_signs(spark):
+    rows = [(k, f"please write to: u{'abcdefghijklmnopqrst'[k]}@example.org") for k in range(20)]
+    rows += [(100, "please write to: john(at)example(dot)com"), (101, "please write to: john at example.com")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[100] == "email:17:40" and got[101] == "email:17:36"
+
+
+def test_a_seed_counts_behind_every_pattern(spark):
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881"]
+    rows = [(k, f"my card is {c} ok") for k, c in enumerate(cards)] + [(10 + k, f"pay it with {c.replace(' ', '.')} now") for k, c in enumerate(cards)]
+    rows += [(20, "10.1.1.1 is here"), (21, "go to 10[.]1[.]1[.]1 now"), (22, "go to 1[.]01[.]1[.]1 now")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all("card:12:31" in got[10 + k] for k in range(3))
+    assert got[21] == "ip:6:20" and got[22] == ""
