@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,11 +13,14 @@ from pyspark.sql import functions as F
 def shared_root(spark: SparkSession) -> str:
     """The folder shared by driver and executors, from spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a notebook on one machine) is a
-    temporary folder made and remembered in the session.
+    Only where that setting is absent and one machine does all the work (tests, a
+    notebook) is a temporary folder made and remembered in the session; on a cluster
+    its absence is an error, as executors don't see each other's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.feedlake.scratch", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-feedlake-")
         spark.conf.set("spark.feedlake.scratch", root)
     return root.rstrip("/")
@@ -45,8 +49,15 @@ class Scratch:
     def drop(self, *tables: DataFrame | None) -> None:
         for t in tables:
             if t is not None and getattr(t, "_feedlake_path", None):
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(t._feedlake_path)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self._delete(t._feedlake_path)
+
+    def clear(self) -> None:
+        """Remove all tables of the run."""
+        self._delete(self.base)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def whole_text(col: str | Column = "text") -> Column:
@@ -63,6 +74,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -
 
     Large-star and small-star steps in turn, each a grouped minimum joined back to
     the edges, until the edges are stars; the edges of a round are a written table.
+    Edges that are no stars after `rounds` rounds (they halve the distances, so that
+    takes chains of astronomic length) are an error.
     """
 
     def step(pairs: DataFrame, larger: bool) -> DataFrame:
@@ -82,7 +95,9 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -
 
     now = scratch.table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     before = state(now)
-    while rounds and before[0]:
+    while before[0]:
+        if rounds == 0:
+            raise RuntimeError("components are still changing")
         rounds -= 1
         new = scratch.table(step(step(now, True), False), "edges")
         scratch.drop(now)
