@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, whole_text
+from .url_filter import _level
+
+#: Repeated hashes up to which a Bloom filter of them is sent to the tasks, and its rate of false positives.
+BLOOM_KEYS, BLOOM_RATE = 1_000_000, 0.01
 
 
 def content_hash(text: Column) -> Column:
@@ -15,6 +19,21 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def may_repeat(rows: DataFrame, scratch: Scratch) -> Callable[[Column], Column]:
+    """Whether a hash may occur more than once in `rows` (h): certain where it says no.
+
+    Only hashes are counted, so no text is shuffled. A Bloom filter of the repeated
+    ones is sent to the tasks where they are at most BLOOM_KEYS; more of them, and any may repeat.
+    """
+    again = rows.groupBy("h").count().filter("count > 1").select(F.hex("h").alias("key"))
+    again = scratch.table(again, "repeated")
+    n = again.count()
+    if n == 0 or n > BLOOM_KEYS:
+        return lambda h: F.lit(n > 0)
+    level = _level(again, n, BLOOM_RATE, 1)
+    return lambda h: level.holds(F.hex(h))
+
+
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -24,10 +43,11 @@ def exact_dedup(
 ) -> DataFrame:
     """One row per input row: (id_col, keep_id, group_size, kept, text_sha256, content_hash).
 
-    Rows are grouped by (hash, bytes): the hash deals the rows out, the bytes are
-    compared by the grouping itself, so texts that collide stay apart. Copies
-    meet in the partial aggregate, so a group that holds a third of the table
-    reaches the shuffle as one row for each map task.
+    Rows are grouped by hash first, hashes alone. A row whose hash is certain to occur once
+    is answered where it is read. The others are grouped by (hash, bytes): the hash
+    deals the rows out, the bytes are compared by the grouping itself, so texts that
+    collide stay apart. Copies meet in the partial aggregate, so a group that holds a
+    third of the table reaches the shuffle as one row for each map task.
 
     Members find their group by hash alone, without shuffling texts again. Only
     hashes which carry two or more different texts (collisions) are joined on
@@ -38,10 +58,19 @@ def exact_dedup(
     no other; of rows that repeat both id and text of the keeper exactly one is
     kept; an empty table gives an empty result; other columns are not read.
     """
+    scratch = Scratch(docs.sparkSession, "exact_dedup")
+    return _exact_dedup(docs, id_col, text_col, keep, hash_fn, scratch)[0]
+
+
+def _exact_dedup(docs: DataFrame, id_col: str, text_col: str, keep: str, hash_fn: Callable[[Column], Column], scratch: Scratch) -> tuple[DataFrame, Callable[[Column], Column]]:
     if keep not in ("smallest", "largest"):
         raise ValueError("keep must be 'smallest' or 'largest'")
-    scratch = Scratch(docs.sparkSession, "exact_dedup")
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("t")).withColumn("h", hash_fn(F.col("t")))
+    repeats = may_repeat(rows.select("h"), scratch)
+    alone = rows.filter(~repeats(F.col("h"))).select(
+        "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), F.sha2("t", 256).alias("text_sha256"), "h"
+    )
+    rows = rows.filter(repeats(F.col("h")))
     pick = F.min("id") if keep == "smallest" else F.max("id")
     groups = rows.groupBy("h", "t").agg(pick.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = scratch.table(groups.select("h", "keep_id", "group_size", F.sha2("t", 256).alias("text_sha256")), "groups")
@@ -59,26 +88,27 @@ def exact_dedup(
         split = split.withColumn("text_sha256", F.sha2("t", 256))
         placed = clear.unionByName(members(clash, ["h", "t"]).join(split, ["h", "t"]).drop("t"))
     copies = F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
-    return placed.select("*", copies).select(
-        F.col("id").alias(id_col),
-        "keep_id",
-        "group_size",
-        (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        "text_sha256",
-        F.col("h").alias("content_hash"),
-    )
+    placed = placed.select("*", copies).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))
+    found = alone.unionByName(placed.select(*alone.columns)).withColumnRenamed("id", id_col).withColumnRenamed("h", "content_hash")
+    return found, repeats
 
 
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of `docs`, all columns, that exact_dedup keeps: one for each text.
 
-    The ids to drop are written first, so that Spark knows their size when it
-    chooses how to join them.
+    Rows whose hash is certain to occur once pass as they are read; the others are
+    held against the ids to drop, which are written first, so that Spark knows
+    their size when it chooses how to join them.
     """
     scratch = Scratch(docs.sparkSession, "keep_exact")
-    found = exact_dedup(docs, id_col, text_col, keep).filter("NOT kept").select(F.col(id_col).alias("_id"), F.col("content_hash").alias("_h"), "keep_id")
-    dropped = scratch.table(found, "dropped")
+    found, repeats = _exact_dedup(docs, id_col, text_col, keep, content_hash, scratch)
+    found = found.filter("NOT kept").select(F.col(id_col).alias("_id"), F.col("content_hash").alias("_h"), "keep_id")
+    dropped = Scratch(docs.sparkSession, "keep_exact").table(found, "dropped")
+    scratch.clear()
     keeper = F.col("_id").eqNullSafe(F.col("keep_id"))
     gone = dropped.filter(~keeper)
-    rows = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (content_hash(whole_text(text_col)) == gone["_h"]), "left_anti")
-    return rows.dropDuplicates([id_col, text_col]) if dropped.filter(keeper).limit(1).count() else rows
+    again = repeats(content_hash(whole_text(text_col)))
+    rows = docs.filter(again)
+    rows = rows.join(gone, rows[id_col].eqNullSafe(gone["_id"]) & (content_hash(whole_text(text_col)) == gone["_h"]), "left_anti")
+    rows = rows.dropDuplicates([id_col, text_col]) if dropped.filter(keeper).limit(1).count() else rows
+    return docs.filter(~again).unionByName(rows)
