@@ -5,7 +5,9 @@ Everything here is DataFrame expressions; no Python runs on the executors.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -13,10 +15,12 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, whole_text
 
-#: Buckets of hashed words, most training rows, words that a text counts for at most, and steps between 0 and 1 of a posterior.
+#: Buckets of hashed words, most training rows (shared by the domains), words that a text counts for at most, and steps between 0 and 1 of a cell.
 BUCKETS, TRAIN_ROWS, EVIDENCE, GRID = 4096, 4000, 40.0, 50
 #: Rounds of projected gradient, and the change of all shares at which they end.
 ROUNDS, ENOUGH = 60, 1e-4
+#: Domains at most.
+MOST_DOMAINS = 16
 
 
 def words_of(text: Column) -> Column:
@@ -24,10 +28,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
 
 
-def word_count(text: Column) -> Column:
-    return F.when(F.trim(text) == "", F.lit(0)).otherwise(F.size(words_of(text))).cast("bigint")
-
-
 def _bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
@@ -58,25 +58,29 @@ class DomainModel:
         return logs
 
     def posteriors(self, logs: list[Column]) -> list[Column]:
-        """P(domain), rounded to steps of 1 / GRID that add up to 1 (the first domain takes the rest)."""
+        """P(domain)."""
         top = F.greatest(*logs) if len(logs) > 1 else logs[0]
         raw = [F.exp(x - top) for x in logs]
         total = sum(raw[1:], raw[0])
-        rest = [F.floor(x / total * GRID) / GRID for x in raw[1:]]
-        return [F.lit(1.0) - sum(rest[1:], rest[0]) if rest else F.lit(1.0), *rest]
+        return [x / total for x in raw]
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DomainModel:
-    """Fit on `labelled` (id_col, domain): TRAIN_ROWS rows of the smallest id hashes, whole texts.
+    """Fit on `labelled` (id_col, domain): rows of the smallest id hashes, as many of each domain, TRAIN_ROWS in all, whole texts.
 
-    Only their ids are broadcast; what reaches the driver are counts by domain and
-    bucket. Without labelled rows there is one domain, 'all'.
+    Priors are of all labelled rows. Only ids of the sample are broadcast; what reaches the
+    driver are counts by domain and bucket. There may be up to MOST_DOMAINS domains;
+    without labelled rows there is one, 'all'.
     """
     known = labelled.filter(F.col(id_col).isNotNull() & F.col("domain").isNotNull()).groupBy(id_col).agg(F.min("domain").alias("domain"))
-    picked = known.orderBy(F.xxhash64(id_col), id_col).limit(TRAIN_ROWS)
-    rows = docs.select(id_col, whole_text(text_col).alias("t")).join(F.broadcast(picked), id_col).dropDuplicates([id_col])
-    sizes = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
+    known = Scratch(docs.sparkSession, "domains").table(known, "labelled")
+    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().limit(MOST_DOMAINS + 1).collect()}
+    if len(sizes) > MOST_DOMAINS:
+        raise ValueError(f"more than {MOST_DOMAINS} domains")
     domains = tuple(sorted(sizes)) or ("all",)
+    parts = [known.filter(F.col("domain") == d).orderBy(F.xxhash64(id_col), id_col).limit(TRAIN_ROWS // len(domains)) for d in domains]
+    picked = reduce(DataFrame.unionByName, parts)
+    rows = docs.select(id_col, whole_text(text_col).alias("t")).join(F.broadcast(picked), id_col).dropDuplicates([id_col])
     counts = np.full((len(domains), BUCKETS), 0.5)
     words = rows.select("domain", F.explode(words_of(F.col("t"))).alias("w"))
     for r in words.groupBy("domain", _bucket(F.col("w")).alias("b")).count().collect():
@@ -128,17 +132,20 @@ def rate_of(p: list[Column], steps: list[np.ndarray]) -> Column:
     return F.aggregate(parsed, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r + move(s)))
 
 
-def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
-    """(id_col, tokens, p_<domain> ..., rate, copies) of every row.
+def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", seed: int = 0, whole: bool = False) -> DataFrame:
+    """(id_col, tokens, p_<domain> ..., rate, copies) of every row; with `whole` also `row`, a struct of all its columns.
 
     Rates make the expected tokens of the domains match `targets` (shares, made to
     add up to 1) at the corpus's own total. `copies` rounds a rate up or down by the
     hash of id and seed, with the rate as its mean: 0 leaves a document out.
 
-    Posteriors lie on a grid of 1 / GRID, so that documents fall into a bounded
-    number of cells and a round reads cells, whatever the corpus's size; cells are
-    summed in each task first, so a source that holds a third of all rows is a
-    handful of rows in the shuffle.
+    Tokens are words between white space. For the rounds, documents fall into a
+    bounded number of cells (posteriors rounded to 1 / GRID), and a cell has the mean
+    posteriors of its tokens, so a round reads cells, whatever the corpus's size;
+    cells are summed in each task first, so a source that holds a third of all rows is
+    a handful of rows in the shuffle. Each document's rate follows from its own
+    posteriors. Targets that ROUNDS rounds don't reach, as those of a domain without
+    documents, give a warning with the shares reached.
 
     Defined cases: null and empty texts have no words, the prior's posteriors and a
     rate like any other; without tokens every rate is 1; a domain that no document
@@ -147,12 +154,19 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col:
     """
     scratch = Scratch(docs.sparkSession, "mix")
     size = len(model.domains)
-    words = docs.select(F.col(id_col).alias("id"), words_of(whole_text(text_col)).alias("w"))
-    scored = words.select("id", F.size("w").cast("bigint").alias("tokens"), F.array(*model.log_odds(F.col("w"))).alias("l"))
-    scored = scored.select("id", "tokens", *[x.alias(f"p{k}") for k, x in enumerate(model.posteriors([F.col("l")[k] for k in range(size)]))])
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if whole else []
+    words = docs.select(F.col(id_col).alias("id"), words_of(whole_text(text_col)).alias("w"), *row)
+    row = ["row"] if whole else []
+    scored = words.select("id", F.size("w").cast("bigint").alias("tokens"), F.array(*model.log_odds(F.col("w"))).alias("l"), *row)
+    scored = scored.select("id", "tokens", *[x.alias(f"p{k}") for k, x in enumerate(model.posteriors([F.col("l")[k] for k in range(size)]))], *row)
     scored = scratch.table(scored, "scored")
-    cells = scratch.table(scored.groupBy(*[f"p{k}" for k in range(size)]).agg(F.sum("tokens").alias("tokens")), "cells")
-    steps, _ = solve_rates(cells, model.domains, targets)
+    grid = [F.round(F.col(f"p{k}") * GRID).alias(f"c{k}") for k in range(size)]
+    means = [(F.sum(F.col("tokens") * F.col(f"p{k}")) / F.sum("tokens")).alias(f"p{k}") for k in range(size)]
+    cells = scratch.table(scored.filter("tokens > 0").groupBy(*grid).agg(F.sum("tokens").alias("tokens"), *means), "cells")
+    steps, shares = solve_rates(cells, model.domains, targets)
+    total = sum(max(x, 0) for x in targets.values())
+    if total > 0 and any(abs(targets.get(d, 0) / total - x) > 10 * ENOUGH for d, x in zip(model.domains, shares, strict=True)):
+        warnings.warn(f"the targets are not met, the shares reached are {dict(zip(model.domains, shares.round(4).tolist(), strict=True))}", stacklevel=2)
     u = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 40)) / float(1 << 40)
     rated = scored.withColumn("rate", rate_of([F.col(f"p{k}") for k in range(size)], steps))
     return rated.select(
@@ -161,6 +175,7 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col:
         *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(model.domains)],
         "rate",
         (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies"),
+        *row,
     )
 
 

@@ -25,9 +25,9 @@ URL_RULES = [
 MIX_TARGETS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
 
 
-def mixture(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def mixture(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
     model = mixing.fit_domains(docs, mixing.label_domains(labels))
-    return mixing.mix(docs, model, MIX_TARGETS)
+    return mixing.mix(docs, model, MIX_TARGETS, whole=whole)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(str(r) for r in URL_RULES) + " AS rules(host, path, verdict)")
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
