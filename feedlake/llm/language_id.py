@@ -87,7 +87,7 @@ def identify(
     host_levels: list[Column] | None = None,
     least: float = 0.5,
 ) -> DataFrame:
-    """(id_col, language, confidence, text_language, accepted) of every row.
+    """(id_col, language, confidence, text_language, text_hash, accepted) of every row; text_hash (xxhash64) tells apart rows of one id.
 
     A posterior multiplies four kinds of evidence: the whole text's likelihood
     (trigrams in words; long texts count as EVIDENCE trigrams, as trigrams aren't
@@ -110,17 +110,17 @@ def identify(
     levels = [f"host{k}" for k in range(len(host_levels or []))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in split_batches(batches, "t", 3_000_000):
+        for b in split_batches(batches, "t", 1_000_000):
             ll, n = model.log_likelihoods(b.column("t"))
             ll = ll * np.minimum(n, EVIDENCE)[:, None]
             ll -= ll.max(axis=1, keepdims=True)
             rows = pa.FixedSizeListArray.from_arrays(pa.array(ll.ravel()), size).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n), rows, *(b.column(c) for c in ("declared", *levels))], ["id", "n", "ll", "declared", *levels])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n), rows, *(b.column(c) for c in ("text_hash", "declared", *levels))], ["id", "n", "ll", "text_hash", "declared", *levels])
 
     base = [F.log(F.lit((1 - UNKNOWN_PRIOR) / (size - 1) if k < size - 1 else UNKNOWN_PRIOR)) for k in range(size)]
     said = F.lit(None).cast("string") if declared is None else F.when(F.lower(declared).isin(list(model.languages)), F.lower(declared))
-    cols = [F.col(id_col).alias("id"), F.col(text_col).alias("t"), said.alias("declared"), *(c.cast("string").alias(n) for c, n in zip(host_levels or [], levels, strict=True))]
-    schema = f"id {kind}, n bigint, ll array<double>, declared string" + "".join(f", {c} string" for c in levels)
+    cols = [F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("text_hash"), said.alias("declared"), *(c.cast("string").alias(n) for c, n in zip(host_levels or [], levels, strict=True))]
+    schema = f"id {kind}, n bigint, ll array<double>, text_hash bigint, declared string" + "".join(f", {c} string" for c in levels)
     rows = docs.select(*cols).mapInArrow(run, schema)
 
     def together(*logs) -> Column:
@@ -172,6 +172,7 @@ def identify(
         F.when(empty, UNKNOWN).otherwise(label(logs)).alias("language"),
         F.when(empty, F.lit(0.0)).otherwise(1 / mass(logs)).alias("confidence"),
         F.when(empty, UNKNOWN).otherwise(label(F.col("p"))).alias("text_language"),
+        "text_hash",
     )
     return out.withColumn("accepted", (F.col("language") != UNKNOWN) & (F.col("confidence") >= least))
 
