@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces remembered by one Python worker.
-CACHE = 600_000
+CACHE = 250_000
 
 #: Characters for which cutting at spaces is known to agree with the pattern.
 _ODD = "[^\\t\\n\\r\\x20-\\x7e\\x{a1}-\\x{24f}]"
@@ -103,7 +103,7 @@ class Encoder:
         return np.concatenate(parts) if parts else ids, np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
-def split_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 12_000_000) -> Iterator[pa.RecordBatch]:
+def split_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about `most` bytes of `column`, or one row."""
     for b in batches:
         if b.num_rows == 0:
