@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
 from .encode import encoder, split_batches
 
 #: Lengths summed together before the running totals over blocks.
@@ -43,9 +44,11 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     tokens left where every document is cut to this length; tokens of all.
 
     Sums run within blocks of BLOCK lengths and over the blocks' totals, so no
-    task reads more than one block or one row for each block. An empty histogram
-    gives no rows.
+    task reads more than one block or one row for each block. The histogram is
+    written first, as both read it and texts are to be encoded once. An empty
+    histogram gives no rows.
     """
+    histogram = Scratch(histogram.sparkSession, "lengths").table(histogram, "histogram")
     h = histogram.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)).withColumn("tokens", F.col("n_tokens") * F.col("n_docs"))
     blocks = h.groupBy("block").agg(F.sum("n_docs").alias("bd"), F.sum("tokens").alias("bt"))
     after = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
