@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,14 +26,14 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Shapes of identifiers which the base patterns don't take, looked at only in a learned context.
 _LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+ ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9.-]+[A-Za-z0-9]"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\.| \. |\[\.\])[0-9]{1,3}){3}(?![0-9.])"),
     "card": re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){11,18}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+])\(?[0-9][\x20().0-9-]{6,18}[0-9](?![0-9])"),
 }
-#: One of each must be in a text that has an address of the loose shape.
-_AT, _DOT = ("@", "(at)", "[at]", " at "), (".", "(dot)", "[dot]", " dot ")
-_BEFORE = re.compile(r"(\S+)\s+(\S+)\s*\Z")
+#: An address of the loose shape: its sign, and what may stand behind it.
+_AT = re.compile(r" ?(?:@|\(at\)|\[at\]| at ) ?")
+_LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+ ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9.-]*[A-Za-z0-9]")
+_WORD = re.compile(r"\S+")
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
 
@@ -80,10 +81,45 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _pattern(text: str, start: int) -> str | None:
-    """The two words before a span, lower-cased, digits as one sign; None without two words."""
-    m = _BEFORE.search(text, max(0, start - 80), start)
-    return re.sub("[0-9]+", "#", f"{m[1]} {m[2]}".lower()) if m else None
+def _loose_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses of the loose shape, from each sign outwards, so that long words cost nothing."""
+    free = 0
+    for at in _AT.finditer(text):
+        start = at.start()
+        while start > free and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        m = _LOOSE_DOMAIN.match(text, at.end()) if start < at.start() else None
+        free = m.end() if m else at.end()
+        if m:
+            yield start, m.end()
+
+
+class _Words:
+    """The words of a text by place; they are looked for once, and only where a span asks."""
+
+    def __init__(self, text: str):
+        self.text, self.spans = text, [m.span() for m in _WORD.finditer(text)]
+        self.starts = [a for a, _ in self.spans]
+
+    def before(self, at: int) -> list[str]:
+        """The last two words before a place, the nearest last; a word that reaches over it counts up to it."""
+        k = bisect_left(self.starts, at)
+        return [self.text[a : min(b, at)] for a, b in self.spans[max(0, k - 2) : k]]
+
+    def after(self, at: int) -> list[str]:
+        """The first two words from a place on; a word that began earlier counts from it."""
+        k = bisect_right(self.starts, at - 1)
+        k -= k > 0 and self.spans[k - 1][1] > at
+        return [self.text[max(a, at) : b] for a, b in self.spans[k : k + 2]]
+
+
+def _patterns(words: _Words, start: int, end: int) -> list[str]:
+    """The two words before a span, the two behind it, and one of each; lower-cased, digits as one sign."""
+    before, after = words.before(start), words.after(end)
+    out = [("<", *before)] if len(before) == 2 else []
+    out += [(">", *after)] if len(after) == 2 else []
+    out += [("=", before[-1], after[0])] if before and after else []
+    return [re.sub("[0-9]+", "#", " ".join(p).lower()) for p in out]
 
 
 def _value(kind: int, span: str) -> str:
@@ -98,18 +134,29 @@ def _value(kind: int, span: str) -> str:
 
 
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds (base spans) and candidates of looser shape that touch no base span, each with its pattern, if any."""
-    out, taken = [], [(a, b) for a, _, b in base]
+    """Seeds (base spans) and candidates of looser shape that touch no base span, each with its patterns.
+
+    Time is linear in the text and its spans: base spans are held as merged intervals, in order.
+    """
+    starts, ends = [], []
+    for a, _, b in base:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     spans = [(a, k, b, True) for a, k, b in base]
     digits = _DIGITS.search(text) is not None
     for k, kind in enumerate(KINDS):
-        if any(s in text for s in _AT) and any(s in text for s in _DOT) if kind == "email" else digits:
-            for m in _LOOSE[kind].finditer(text):
-                if not any(a < m.end() and m.start() < b for a, b in taken):
-                    spans.append((m.start(), k, m.end(), False))
+        found = _loose_emails(text) if kind == "email" else (m.span() for m in _LOOSE[kind].finditer(text)) if digits else ()
+        for a, b in found:
+            at = bisect_left(starts, b)
+            if at == 0 or ends[at - 1] <= a:
+                spans.append((a, k, b, False))
+    words, out = _Words(text) if spans else None, []
     for a, k, b, seed in spans:
         value = hashlib.blake2b(_value(k, text[a:b]).encode(), digest_size=16).hexdigest()
-        out.append({"kind": k, "start": a, "end": b, "seed": seed, "pattern": _pattern(text, a), "value": value})
+        out.append({"kind": k, "start": a, "end": b, "seed": seed, "patterns": _patterns(words, a, b), "value": value})
     return out
 
 
@@ -121,8 +168,8 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(documents, mentions): base spans of every whole text, and the seeds and candidates with contexts."""
     scratch = Scratch(docs.sparkSession, "pii")
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, row string, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", base string, mentions array<struct<kind:int,start:bigint,end:bigint,seed:boolean,pattern:string,value:string>>"
-    found_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("pattern", pa.string()), ("value", pa.string())]))
+    schema = f"id {kind}, row string, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", base string, mentions array<struct<kind:int,start:bigint,end:bigint,seed:boolean,patterns:array<string>,value:string>>"
+    found_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.string())), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in split_batches(batches, "t"):
@@ -154,6 +201,7 @@ def learned(each: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     of a text add no weight, since instances are counted once.
     """
     scratch = Scratch(each.sparkSession, "pii-graph")
+    each = each.select("kind", "value", "seed", F.explode_outer("patterns").alias("pattern"))
     edges = scratch.table(each.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")), "pairs")
     known = edges.filter("seed").select("kind", "value", F.lit(True).alias("known")).distinct()
     edges = edges.join(known, ["kind", "value"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
@@ -179,10 +227,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The counts and base_sha256 are of the base spans; `spans` has these and what
     the learned contexts add, as kind:start:end (code points, end exclusive) by
-    start and kind, comma-joined. Contexts are the two words before a span; a
-    context that stands before several different seeds, and before little else,
-    makes candidates of looser shape behind it count too, as does a base span of the
-    same identifier anywhere.
+    start and kind, comma-joined. Contexts are the two words before a span, the two
+    behind it, or one of each, whole words; a context that stands at several different
+    seeds, and at little else, makes candidates of looser shape in it count too, as
+    does a base span of the same identifier anywhere.
 
     Defined cases: null and empty texts have no spans; spans of different kinds may
     overlap; added spans never overlap base spans; repeated rows are answered each;

@@ -71,3 +71,56 @@ def test_a_seed_counts_behind_every_pattern(spark):
     got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert all("card:12:31" in got[10 + k] for k in range(3))
     assert got[21] == "ip:6:20" and got[22] == ""
+
+
+def test_long_words_and_many_spans_take_linear_time():
+    import time
+
+    for text in ("x" * 100_000, " ".join(f"user{k}@example{k}.org" for k in range(20_000)), "a" * 50_000 + "@" + "b" * 50_000, "a at b " * 20_000, "1" * 100_000, "+1" * 50_000):
+        began = time.time()
+        found = pii.mentions(text, pii.base_spans(text))
+        assert time.time() - began < 3
+
+
+def test_words_around_a_span():
+    words = pii._Words("one two:x@y.z, three 4 five")
+    assert words.before(8) == ["one", "two:"] and words.after(13) == [",", "three"] and words.before(0) == [] and words.after(27) == []
+    assert pii._patterns(words, 8, 13) == ["< one two:", "> , three", "= two: ,"]
+
+
+def brute_learned(mentions):
+    """The pattern-instance graph scored with plain dictionaries."""
+    edges = {}
+    for m in mentions:
+        for p in m["patterns"] or [None]:
+            edges[m["kind"], p, m["value"]] = edges.get((m["kind"], p, m["value"]), False) or m["seed"]
+    known = {(k, v) for (k, _, v), seed in edges.items() if seed}
+    score = {e: float((e[0], e[2]) in known) for e in edges}
+    for _ in range(pii.ROUNDS):
+        conf = {}
+        for k, p in {(k, p) for k, p, _ in edges if p is not None}:
+            own = [s for e, s in score.items() if e[:2] == (k, p)]
+            if sum(s >= pii.CONFIDENT for s in own) >= pii.SUPPORT:
+                conf[k, p] = sum(own) / (len(own) + pii.DOUBT)
+        best = {}
+        for k, p, v in edges:
+            best[k, v] = max(best.get((k, v), 0.0), conf.get((k, p), 0.0))
+        score = {e: 1.0 if (e[0], e[2]) in known else best[e[0], e[2]] for e in edges}
+    return {(e[0], e[2]) for e, s in score.items() if s >= pii.CONFIDENT and not edges[e]}
+
+
+def test_learned_spans_against_a_plain_graph(spark):
+    import random
+
+    rng = random.Random(3)
+    frames = ["call me on {} please", "my number {} is new", "the total {} was paid", "ring {} or come"]
+    texts = []
+    for k in range(300):
+        base = rng.random() < 0.7
+        number = f"+1 (555) 01{rng.randrange(90):02d}-{rng.randrange(40):04d}" if base else f"555-01{rng.randrange(90):02d}-{rng.randrange(40):04d}"
+        texts.append(rng.choice(frames[:2] if base else frames).format(number))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    _, each = pii.extract(docs)
+    got = {(r["kind"], r["value"]) for r in pii.learned(each).collect()}
+    want = brute_learned([m for t in texts for m in pii.mentions(t, pii.base_spans(t))])
+    assert got == want and len(want) > 5
