@@ -11,7 +11,7 @@ from .common import Scratch, whole_text
 from .url_filter import _level
 
 #: Repeated hashes up to which a Bloom filter of them is sent to the tasks, and its rate of false positives.
-BLOOM_KEYS, BLOOM_RATE = 1_000_000, 0.01
+BLOOM_KEYS, BLOOM_RATE = 250_000, 0.01
 
 
 def content_hash(text: Column) -> Column:

@@ -43,14 +43,14 @@ class Level:
     words: tuple[int, ...]
 
     def holds(self, key: Column) -> Column:
+        """All bits of the key; the words are written once in the expression, as plans and their descriptions carry them."""
         words = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>")
-        out = None
-        for i in range(self.hashes):
-            at = _position(key, i, self.number, self.bits)
+
+        def bit(at: Column) -> Column:
             word = F.element_at(words, (F.floor(at / 63) + 1).cast("int"))
-            bit = F.expr("1L").bitwiseAND(F.call_function("shiftright", word, F.pmod(at, F.lit(63)).cast("int"))) == 1
-            out = bit if out is None else out & bit
-        return out
+            return F.expr("1L").bitwiseAND(F.call_function("shiftright", word, F.pmod(at, F.lit(63)).cast("int"))) == 1
+
+        return F.forall(F.array(*[_position(key, i, self.number, self.bits) for i in range(self.hashes)]), bit)
 
 
 def _level(keys: DataFrame, n: int, rate: float, number: int) -> Level:
