@@ -19,6 +19,8 @@ from .common import Scratch, whole_text
 BUCKETS, TRAIN_ROWS, EVIDENCE, GRID = 4096, 4000, 40.0, 50
 #: Rounds of projected gradient, and the change of all shares at which they end.
 ROUNDS, ENOUGH = 60, 1e-4
+#: Growth of the step after a round that lowered the objective.
+FASTER = 1.5
 #: Domains at most.
 MOST_DOMAINS = 16
 
@@ -97,7 +99,8 @@ def solve_rates(cells: DataFrame, domains: tuple[str, ...], targets: dict[str, f
     round adds up, over all cells, the tokens that the present rates expect in each
     domain, and moves every rate against its gradient, not below 0. A step is a
     vector with one number for each domain, so a rate is a function of a document's
-    posteriors and the list of steps; rates are never written between rounds.
+    posteriors and the list of steps; rates are never written between rounds. Steps grow
+    while the objective falls; one that doesn't lower it is taken back and halved.
     """
     size = len(domains)
     want = np.array([max(targets.get(d, 0.0), 0.0) for d in domains])
@@ -113,12 +116,17 @@ def solve_rates(cells: DataFrame, domains: tuple[str, ...], targets: dict[str, f
     steps: list[np.ndarray] = []
     shares = m.sum(axis=1)
     for _ in range(ROUNDS):
-        steps.append(-speed * weight * (shares - want))
-        rate = rate_of([F.col(f"p{k}") for k in range(size)], steps)
-        row = cells.withColumn("r", rate).agg(*[F.sum(F.col("tokens") * F.col("r") * F.col(f"p{k}")) for k in range(size)]).first()
-        shares = np.array([float(x) for x in row]) / total
         if np.abs(shares - want).max() < ENOUGH:
             break
+        step = -speed * weight * (shares - want)
+        rate = rate_of([F.col(f"p{k}") for k in range(size)], [*steps, step])
+        row = cells.withColumn("r", rate).agg(*[F.sum(F.col("tokens") * F.col("r") * F.col(f"p{k}")) for k in range(size)]).first()
+        new = np.array([float(x) for x in row]) / total
+        if (weight * (new - want) ** 2).sum() < (weight * (shares - want) ** 2).sum():
+            steps.append(step)
+            shares, speed = new, speed * FASTER
+        else:
+            speed /= 2
     return steps, shares
 
 
@@ -162,7 +170,7 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col:
     scored = scratch.table(scored, "scored")
     grid = [F.round(F.col(f"p{k}") * GRID).alias(f"c{k}") for k in range(size)]
     means = [(F.sum(F.col("tokens") * F.col(f"p{k}")) / F.sum("tokens")).alias(f"p{k}") for k in range(size)]
-    cells = scratch.table(scored.filter("tokens > 0").groupBy(*grid).agg(F.sum("tokens").alias("tokens"), *means), "cells")
+    cells = scratch.table(scored.filter("tokens > 0").groupBy(*grid).agg(F.sum("tokens").alias("tokens"), *means).coalesce(1), "cells")
     steps, shares = solve_rates(cells, model.domains, targets)
     total = sum(max(x, 0) for x in targets.values())
     if total > 0 and any(abs(targets.get(d, 0) / total - x) > 10 * ENOUGH for d, x in zip(model.domains, shares, strict=True)):
