@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def is_blank(c: Column) -> Column:
-    return F.trim(F.coalesce(c, F.lit(""))) == ""
+    """Null, or nothing but white space (no-break included)."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s\x{a0}]+", "") == ""
 
 
 def normalize_label(c: Column) -> Column:

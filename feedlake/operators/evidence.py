@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.text import is_digest, is_logical_id, reuse_fingerprint
+from feedlake.workspace import workspace
+
+#: Rounds in which chains of reused runs are followed, each twice as far as the one before.
+HOPS = 32
 
 #: Fields of each record type besides the common ones, and the outcomes of a stage (fixed values).
 FIELDS = {
@@ -100,11 +104,22 @@ def phase_status(records: DataFrame, overlay: DataFrame) -> DataFrame:
 
 
 def phase_origin(phases: DataFrame) -> DataFrame:
-    """(run_id, stage_id, origin): the run that did a phase; a reused phase has that of the run it names, which carries its own."""
-    own = F.coalesce("satisfied_by", "run_id")
-    prior = phases.select(F.col("run_id").alias("satisfied_by"), "stage_id", own.alias("carried"))
-    both = phases.join(prior, ["satisfied_by", "stage_id"], "left")
-    return both.select("run_id", "stage_id", F.coalesce("carried", own).alias("origin"))
+    """(run_id, stage_id, origin): the run that did a phase; a reused phase has that of the run it names, through chains of any length.
+
+    Each round takes every run's origin to its origin's origin, so the hops double; a
+    run that isn't recorded is an origin itself. Runs that name each other in a circle are an error.
+    """
+    base = workspace(phases.sparkSession, "origins")
+    now = phases.select("run_id", "stage_id", F.coalesce("satisfied_by", "run_id").alias("origin"))
+    for k in range(HOPS):
+        prior = now.select(F.col("run_id").alias("origin"), "stage_id", F.col("origin").alias("carried"))
+        new = now.join(prior, ["origin", "stage_id"], "left").select("run_id", "stage_id", F.coalesce("carried", "origin").alias("origin"), (F.col("carried") != F.col("origin")).alias("moved"))
+        new.write.parquet(f"{base}/{k}")
+        now = phases.sparkSession.read.parquet(f"{base}/{k}")
+        if now.filter("moved").limit(1).count() == 0:
+            return now.drop("moved")
+        now = now.drop("moved")
+    raise ValueError("runs that reuse each other in a circle")
 
 
 def metric_gaps(metrics: DataFrame, contract: DataFrame) -> DataFrame:

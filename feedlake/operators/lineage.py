@@ -19,11 +19,11 @@ def with_workbook_metadata(df: DataFrame, family: str, org: str) -> DataFrame:
     """Lineage of workbooks and what their path says of organisation, years, submission and period.
 
     `family` says which date a file has: 'stamp' its .D stamp, 'year' the end of its
-    .Y year, 'quarter' the end of its quarter.
+    .Y year, 'quarter' the end of its quarter, 'load' the day it is loaded.
     """
     path, name = F.col("file_path"), P.base_name(F.col("file_path"))
     quarter = P.quarter_token(name)
-    dates = {"stamp": P.creation_date(name), "year": P.year_end(name), "quarter": P.quarter_end(quarter)}
+    dates = {"stamp": P.creation_date(name), "year": P.year_end(name), "quarter": P.quarter_end(quarter), "load": F.current_date()}
     year = F.nullif(F.regexp_extract(name, r"\.Y([0-9]{4})\.", 1), F.lit(""))
     return with_lineage(df, dates[family]).withColumns(
         {"aco_id": F.lit(org), "performance_year": P.year_segment(path, org), "benchmark_year": year, "submission_id": P.submission_id(name), "period": quarter}

@@ -47,7 +47,7 @@ def merge_headers(cells: DataFrame, headers: DataFrame) -> DataFrame:
     whose primary header is blank; then a primary header reaches right to the next.
     """
     v = F.when(~is_blank(F.col("value")), normalize_label(F.col("value")))
-    near = cells.join(F.broadcast(headers), KEY).filter((F.col("row_num") >= F.col("header_row")) & (F.col("row_num") <= F.col("header_row") + 1))
+    near = cells.join(headers, KEY).filter((F.col("row_num") >= F.col("header_row")) & (F.col("row_num") <= F.col("header_row") + 1))
     first = F.col("row_num") == F.col("header_row")
     value_cols = near.filter("col_idx > 0").groupBy(*KEY, "header_row", "col_idx").agg(F.max(F.when(first, v)).alias("head"), F.max(F.when(~first, v)).alias("sub"))
     label = near.filter("col_idx = 0").groupBy(*KEY).agg(F.max(F.when(~first, v)).alias("next_label"))
@@ -75,14 +75,14 @@ def constant_headers(cells: DataFrame, labels: tuple[str, ...]) -> DataFrame:
 def sheet_bounds(cells: DataFrame, columns: DataFrame, include_notes: bool = False) -> DataFrame:
     """(file_path, sheet, last_row, notes_row): data lies behind last_row and before notes_row (null: to the end)."""
     last = columns.groupBy(*KEY).agg(F.max("last_row").alias("last_row"))
-    labels = cells.filter("col_idx = 0").join(F.broadcast(last), KEY, "right")
-    note = F.lit(False) if include_notes else (F.col("row_num") > F.col("last_row")) & F.upper(F.trim("value")).startswith("NOTE")
+    labels = cells.filter("col_idx = 0").join(last, KEY, "right")
+    note = F.lit(False) if include_notes else (F.col("row_num") > F.col("last_row")) & F.coalesce(F.upper(normalize_label(F.col("value"))).startswith("NOTE"), F.lit(False))
     return labels.groupBy(*KEY).agg(F.max("last_row").alias("last_row"), F.min(F.when(note, F.col("row_num"))).alias("notes_row"))
 
 
 def body_rows(cells: DataFrame, bounds: DataFrame, include_notes: bool = False) -> DataFrame:
     """(file_path, sheet, row_num, label): labelled rows within the bounds, footnote definitions left out."""
-    rows = cells.filter("col_idx = 0").join(F.broadcast(bounds), KEY)
+    rows = cells.filter("col_idx = 0").join(bounds, KEY)
     inside = (F.col("row_num") > F.col("last_row")) & (F.col("notes_row").isNull() | (F.col("row_num") < F.col("notes_row")))
     rows = rows.filter(inside & ~is_blank(F.col("value")))
     if not include_notes:
@@ -97,7 +97,7 @@ def fill_sections(rows: DataFrame, cells: DataFrame, columns: DataFrame) -> Data
     brackets starts a group too. The first row of each event group gives its values,
     nulls included, so that a section without a code clears the code before it.
     """
-    filled = cells.join(F.broadcast(columns.select(*KEY, "col_idx")), [*KEY, "col_idx"]).filter(~is_blank(F.col("value"))).groupBy(*KEY, "row_num").agg(F.count(F.lit(1)).alias("n_values"))
+    filled = cells.join(columns.select(*KEY, "col_idx"), [*KEY, "col_idx"]).filter(~is_blank(F.col("value"))).groupBy(*KEY, "row_num").agg(F.count(F.lit(1)).alias("n_values"))
     rows = rows.join(filled, [*KEY, "row_num"], "left").withColumn("is_section", F.col("n_values").isNull())
     code = F.nullif(F.regexp_extract("label", BRACKET, 1), F.lit(""))
     rest = normalize_label(F.regexp_extract("label", BRACKET, 2))
@@ -123,7 +123,7 @@ def fill_sections(rows: DataFrame, cells: DataFrame, columns: DataFrame) -> Data
 
 def unpivot_cells(rows: DataFrame, columns: DataFrame, cells: DataFrame) -> DataFrame:
     """A row for each data row and retained column, values as they are; a blank cell is a null value."""
-    grid = rows.filter("NOT is_section").join(F.broadcast(columns), KEY)
+    grid = rows.filter("NOT is_section").join(columns, KEY)
     values = cells.select(*KEY, "row_num", "col_idx", F.col("value").alias("value_text"))
     return grid.join(values, [*KEY, "row_num", "col_idx"], "left").select(
         *KEY, "row_num", "group_label", "section_code", "section_label", "row_label", F.col("column_group").alias("column_group_label"), "column_label", "value_text"

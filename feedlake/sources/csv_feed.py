@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,25 +15,46 @@ from feedlake.operators.naming import unique_names
 
 
 def header_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(file, header): the first line of each file. Lines of a file's first block come in order within a task."""
+    """(file, header, multiline): the first line of each file, and whether a quoted field runs over a line end.
+
+    A line with an odd number of quotes opens or closes such a field. Lines of a
+    file's first block come in order within a task.
+    """
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    numbered = lines.filter("start = 0").withColumn("place", F.monotonically_increasing_id())
-    return numbered.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    place = F.when(F.col("start") == 0, F.monotonically_increasing_id())
+    numbered = lines.select("file", "value", place.alias("place"), (quotes % 2 == 1).alias("odd"))
+    return numbered.groupBy("file").agg(F.min_by("value", "place").alias("header"), F.bool_or("odd").alias("multiline"))
+
+
+def _reader(spark: SparkSession, multiline: bool) -> DataFrameReader:
+    """Quotes are doubled within quotes; a file with quoted line ends is read by one task, any other is split."""
+    return spark.read.option("escape", '"').option("multiLine", multiline).option("mode", "DROPMALFORMED").option("columnPruning", False)
+
+
+def _header_names(spark: SparkSession, header: str, file: str) -> list[str]:
+    """The fields of a header, which may be quoted, hold commas and line ends, and follow a byte order mark."""
+    if header.count('"') % 2:
+        row = _reader(spark, True).csv(file).limit(1).collect()[0]
+        return [(n or "").lstrip("\ufeff").strip() for n in row]
+    return [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")], skipinitialspace=True))]
 
 
 def read_csv_union(spark: SparkSession, paths: list[str] | str, normalize: bool = False) -> DataFrame:
     """Every column as string, files united by column name, ragged lines dropped, file_path added.
 
     Files are read together by equal header (the driver sees headers and paths only),
-    since one read takes its columns by position from the first file.
+    since one read takes its columns by position from the first file. Quoted commas,
+    quotes and line ends are kept, in headers and in fields; files without a line are left out.
     """
-    groups = header_lines(spark, paths).groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    groups = header_lines(spark, paths).filter("header is not null").groupBy("header", "multiline").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    groups = groups.orderBy("header", "multiline").collect()
     frames = []
     for g in groups:
-        names = [snake_case(n) if normalize else n.strip().strip('"').upper() for n in g["header"].split(",")]
+        names = [snake_case(n) if normalize else n.upper() for n in _header_names(spark, g["header"], g["files"][0])]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in unique_names(names)])
-        reader = spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").option("columnPruning", False)
-        frames.append(reader.csv(sorted(g["files"])).select("*", plain_path(F.col("_metadata.file_path")).alias("file_path")))
+        reader = _reader(spark, g["multiline"]).schema(schema).option("header", True)
+        frames.append(reader.csv(g["files"]).select("*", plain_path(F.col("_metadata.file_path")).alias("file_path")))
     if not frames:
         return spark.createDataFrame([], "file_path string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

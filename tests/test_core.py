@@ -54,6 +54,37 @@ def test_csv_union_and_faults(spark, tmp_path):
     assert csv_feed.read_csv_union(spark, str(tmp_path / "n"), normalize=True).columns[:2] == ["first_name", "first_name_1"]
 
 
+def test_csv_quotes_in_headers_and_fields(spark, tmp_path):
+    put(tmp_path, "a/one.csv", '\ufeff"name, full",id\n"Doe, J",1\n"said ""no""",2\n')
+    got = csv_feed.read_csv_union(spark, str(tmp_path / "a")).drop("file_path").orderBy("ID").collect()
+    assert [r.asDict() for r in got] == [{"NAME, FULL": "Doe, J", "ID": "1"}, {"NAME, FULL": 'said "no"', "ID": "2"}]
+    put(tmp_path, "b/one.csv", 'id,note\n1,"line one\nline two"\n2,plain\n')
+    put(tmp_path, "b/two.csv", 'id,"a\nb"\n3,x\n')
+    got = csv_feed.read_csv_union(spark, str(tmp_path / "b")).drop("file_path").orderBy("ID").collect()
+    assert [(r["ID"], r["NOTE"], r["A\nB"]) for r in got] == [("1", "line one\nline two", None), ("2", "plain", None), ("3", None, "x")]
+    put(tmp_path, "c/empty.csv", "")
+    put(tmp_path, "c/one.csv", "a\n1\n")
+    assert csv_feed.read_csv_union(spark, str(tmp_path / "c")).count() == 1
+
+
+def test_reused_runs_are_followed_to_the_first(spark):
+    rows = [("a", "s", None), ("b", "s", "a"), ("c", "s", "b"), ("d", "s", "c"), ("e", "s", "d"), ("f", "s", "gone"), ("b", "t", None)]
+    got = {(r["run_id"], r["stage_id"]): r["origin"] for r in evidence.phase_origin(spark.createDataFrame(rows, "run_id string, stage_id string, satisfied_by string")).collect()}
+    assert got == {**{(k, "s"): "a" for k in "abcde"}, ("f", "s"): "gone", ("b", "t"): "b"}
+    with pytest.raises(ValueError):
+        evidence.phase_origin(spark.createDataFrame([("x", "s", "y"), ("y", "s", "z"), ("z", "s", "x")], "run_id string, stage_id string, satisfied_by string"))
+
+
+def test_notes_behind_other_white_space(spark):
+    from feedlake.functions.text import is_blank
+
+    df = spark.createDataFrame([("\u00a0 \t",), (None,), ("x",)], "v string")
+    assert [r[0] for r in df.select(is_blank(F.col("v"))).collect()] == [True, True, False]
+    cells = spark.createDataFrame([("f", "s", 2, 0, "a"), ("f", "s", 3, 0, "\u00a0\tNote: x")], "file_path string, sheet string, row_num bigint, col_idx int, value string")
+    columns = spark.createDataFrame([("f", "s", 1)], "file_path string, sheet string, last_row bigint")
+    assert sheets.sheet_bounds(cells, columns).first()["notes_row"] == 3
+
+
 def test_discovery_fails_closed(spark, tmp_path):
     assert listing.discover(spark, str(tmp_path), "*.none").count() == 0
     with pytest.raises(listing.DiscoveryError):
