@@ -15,10 +15,8 @@ from .subword import gram_buckets, joined, word_spans
 
 #: n-gram sizes with the blanks at a word's ends, number of buckets, embedding size, words in a bag.
 SIZES, BUCKETS, WIDTH, BAG = range(3, 8), 1 << 17, 8, 2
-#: Step size, share of the largest gradient in every step's scale, and weight of the toxic class in the loss.
-RATE, FLOOR, TOXIC_WEIGHT = 2.0, 0.02, 0.4
-#: n-grams count that occur in at least this share of the toxic training texts (and in three).
-SHARE = 0.015
+#: Step sizes of embeddings and softmax, share of the largest gradient in every step's scale, and weight of the toxic class in the loss.
+RATE, SOFT_RATE, FLOOR, TOXIC_WEIGHT = 2.0, 0.05, 0.02, 0.4
 #: Most training rows of each class, and the longest text used for training.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 800, 1200, 4000
 
@@ -74,10 +72,12 @@ class Model:
 def train(texts: list[str], labels: np.ndarray, rounds: int = 80, seed: int = 1) -> Model:
     """Embeddings and softmax trained jointly by gradient descent on a bounded sample.
 
-    A text's bag is at first all its words, then the BAG neighbouring words that the
+    Each step moves both by their gradients of one cross entropy: the embedding of
+    an n-gram along the difference of the softmax's columns, these along the error's mean
+    embedding. A text's bag is at first all its words, then the BAG neighbouring words that the
     model so far finds most toxic, so that a single phrase in a long text can be
-    learned from a label of the whole. Steps are scaled by each n-gram's past gradients
-    and by a share of the largest, so that n-grams seen in few texts hardly move.
+    learned from a label of the whole. Steps are scaled by the past gradients of each
+    embedding and by a share of the largest, so that n-grams seen in few texts hardly move.
     One class only: a constant score.
     """
     labels = np.asarray(labels, float)
@@ -90,18 +90,14 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 80, seed: int = 1)
     del grams
     per_word = np.maximum(np.bincount(word, minlength=len(starts)), 1)
     rng = np.random.default_rng(seed)
-    e = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
-    w = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
-    bias, past = np.zeros(2), np.zeros(BUCKETS)
+    e = rng.normal(0, 0.01, (BUCKETS, WIDTH)).astype(np.float32)
+    w = rng.normal(0, 0.3, (2, WIDTH))
+    bias, past, soft_past = np.zeros(2), np.zeros(BUCKETS), np.zeros((2, WIDTH))
     text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
     length = np.maximum(np.diff(first), 1)
     weight = np.where(labels == 1, TOXIC_WEIGHT / labels.sum(), (1 - TOXIC_WEIGHT) / (1 - labels).sum())
-    toxic = (labels[text_of] == 1)[word]
-    pairs = np.unique(text_of[word[toxic]] * BUCKETS + gram[toxic])
-    del toxic
-    seen = np.bincount(pairs % BUCKETS, minlength=BUCKETS) >= max(3, SHARE * labels.sum())
     for step in range(rounds):
-        value = seen * (e @ (w[:, 1] - w[:, 0]))
+        value = e @ (w[1] - w[0]).astype(np.float32)
         values = np.bincount(word, value[gram], len(starts)) / per_word
         if step < rounds // 4:
             mean = np.bincount(text_of, values, len(length)) / length
@@ -115,33 +111,33 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 80, seed: int = 1)
         p = 1 / (1 + np.exp(-np.clip(mean + bias[1] - bias[0], -40, 40)))
         error = weight * (p - labels)
         g = np.bincount(gram, (share * error[text_of] / per_word)[word], BUCKETS)
-        past += g * g
+        direction = w[1] - w[0]
+        soft = np.stack([-(g @ e), g @ e])
+        past += g * g * (direction @ direction)
+        soft_past += soft * soft
         root = np.sqrt(past)
-        g = RATE * seen * g / (root + FLOOR * max(float(root.max()), 1e-12))
-        direction = (w[:, 1] - w[:, 0]).astype(np.float64)
-        ge = np.outer(g, direction / max(float(direction @ direction), 1e-6))
-        gw = e.T @ (g)
-        e -= ge.astype(np.float32)
-        w[:, 1] -= (0.01 * gw / max(np.abs(gw).max(), 1e-9)).astype(np.float32)
-        w[:, 0] += (0.01 * gw / max(np.abs(gw).max(), 1e-9)).astype(np.float32)
+        e -= np.outer(RATE * g / (root + FLOOR * max(float(root.max()), 1e-12)), direction).astype(np.float32)
+        w -= SOFT_RATE * soft / np.sqrt(soft_past + 1e-12)
         bias += np.array([1, -1]) * 2.0 * error.sum()
-    value = (seen * (e @ (w[:, 1] - w[:, 0]))).astype(np.float32)
+    value = e @ (w[1] - w[0]).astype(np.float32)
     return Model(value, float(bias[1] - bias[0]), float(min(0.05, rate)))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(text, label) of a bounded sample of labelled rows: the smallest hashes of each class.
 
-    At most TRAIN_TOXIC + TRAIN_CLEAN ids are broadcast; texts over TRAIN_CHARS
-    characters are left out of training (not of scoring).
+    Ids with a text of at most TRAIN_CHARS characters are sampled, so that long texts
+    are replaced in training (they are scored whole). At most TRAIN_TOXIC + TRAIN_CLEAN ids are
+    broadcast, and an id gives one text, however often it is repeated.
     """
+    texts = docs.select(id_col, F.col(text_col).alias("t")).filter(F.length("t") <= TRAIN_CHARS)
     one = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
+    one = one.join(texts.select(id_col), id_col, "left_semi")
     picked = None
     for y, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN)):
         part = one.filter(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(n)
         picked = part if picked is None else picked.unionByName(part)
-    texts = docs.select(id_col, F.col(text_col).alias("t")).filter(F.length("t") <= TRAIN_CHARS)
-    return texts.join(F.broadcast(picked), id_col).select("t", "y").dropDuplicates()
+    return texts.join(F.broadcast(picked), id_col).groupBy(id_col).agg(F.min("t").alias("t"), F.min("y").alias("y")).select("t", "y")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:

@@ -1,8 +1,12 @@
+import re
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from feedlake.llm import language_id, mixing, toxicity
 from feedlake.llm.queries import held_out, identified
+from feedlake.llm.subword import gram_buckets, joined
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -27,12 +31,40 @@ def test_misspellings_share_vectors():
     clean = [f"this is a plain sentence about item number {k} and nothing else" for k in range(60)]
     bad = [f"you are a worthless person said item {k} to nobody" for k in range(60)]
     model = toxicity.train(clean + bad, np.array([0] * 60 + [1] * 60))
-    import pyarrow as pa
-
     s = model.scores(pa.array(["such a worthles thing", "such a plain thing"]))
     assert s[0] > s[1]
 
 
+def test_scores_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(5)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), -0.3, 0.02)
+    texts = ["You are Dumb!", "one", "", " -- ", "Grüße an d0ct0r house and a very long wordthatneverends", None]
+
+    def word_mean(word):
+        data, _ = joined(pa.array([word], pa.large_string()))
+        buckets = [b for _, grams in gram_buckets(data, toxicity.SIZES, toxicity.BUCKETS - 1) for b in grams]
+        return sum(float(model.value[b]) for b in buckets) / max(len(buckets), 1)
+
+    want = []
+    for t in texts:
+        means = [word_mean(w) for w in re.findall("[0-9a-zA-Z\u0080-\uffff]+", t or "")]
+        size = min(toxicity.BAG, len(means))
+        bags = [sum(means[k : k + size]) / size for k in range(len(means) - size + 1)] if means else []
+        want.append(1 / (1 + np.exp(-(max(bags) + model.bias))) if bags else model.empty)
+    assert np.allclose(model.scores(pa.array(texts, pa.large_string())), want, atol=1e-6)
+
+
+def test_training_sample_replaces_long_texts_and_takes_one_text_for_an_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_CHARS", 10)
+    monkeypatch.setattr(toxicity, "TRAIN_CLEAN", 5)
+    docs = spark.createDataFrame([(k, "x" * 20 if k < 40 else f"t{k}") for k in range(50)] + [(45, f"again{k}") for k in range(30)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, 0) for k in range(50)], "doc_id bigint, toxic int")
+    rows = toxicity.training_rows(docs, labels).collect()
+    assert len(rows) == 5 and all(len(r["t"]) <= 10 for r in rows)
+    monkeypatch.setattr(toxicity, "TRAIN_CLEAN", 50)
+    assert len(toxicity.training_rows(docs, labels).collect()) == 10
+
+
 def test_language_accuracy_and_rejects(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = identified(docs).join(docs.select("doc_id", "lang"), "doc_id").select("language", "lang", "accepted").toPandas()
