@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedlake.plans.defs import Feed
 from feedlake.sinks import path_exists, write
-from feedlake.sources.fixed_width import read_fixed_width
 from feedlake.sources.listing import discover, sources
 
 from .lineage import with_lineage
+from .readers import read_feed
 
 Reader = Callable[[SparkSession, list[str]], DataFrame]
 
@@ -26,17 +27,23 @@ def missing_files(listing: DataFrame, target: DataFrame | None) -> DataFrame:
     return listing if target is None else listing.join(loaded_paths(target), "file_path", "left_anti")
 
 
-def ingest(spark: SparkSession, feed: Feed, root: str, target: str, refresh: bool = False, reader: Reader | None = None) -> int:
+def ingest(spark: SparkSession, feed: Feed, root: str, target: str, refresh: bool = False, reader: Reader | None = None, org: str = "") -> int:
     """Read the feed's files that `target` lacks (all with `refresh`), add lineage, append; the number of files read.
 
     The missing files are collected before the write starts (paths only), since the
-    target is read and written. A full refresh is one overwrite.
+    target is read and written. They are read at once, or `feed.batch` at a time: a
+    batch that was written stays, and the next run goes on behind it. A full refresh
+    overwrites with its first batch and appends the others. Feeds of archives skip an
+    archive of which any member is loaded; `reader` replaces the kind's own.
     """
     listing = discover(spark, root, feed.glob)
     known = None if refresh or not path_exists(spark, target) else spark.read.parquet(target)
+    if known is not None and feed.kind in ("zip_csv", "quality"):
+        known = known.select(F.substring_index("file_path", "!", 1).alias("file_path"))
     paths = sources(missing_files(listing, known))
-    if not paths:
-        return 0
-    rows = reader(spark, paths) if reader else read_fixed_width(spark, paths, feed.layout)
-    write(with_lineage(rows), target, "overwrite" if refresh else "append")
+    size = feed.batch or max(len(paths), 1)
+    for k in range(0, len(paths), size):
+        part = paths[k : k + size]
+        rows = with_lineage(reader(spark, part)) if reader else read_feed(spark, feed, part, org)
+        write(rows, target, "overwrite" if refresh and k == 0 else "append", widen=feed.kind in ("csv", "zip_csv", "quality"))
     return len(paths)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,18 +17,25 @@ def with_lineage(df: DataFrame, file_date: Column | None = None) -> DataFrame:
     return df.withColumns({"directory_name": P.directory_name(path), "file_name": P.base_name(path), "file_date": date})
 
 
-def with_workbook_metadata(df: DataFrame, family: str, org: str) -> DataFrame:
+def file_dates(family: str, path: Column) -> Column:
+    """A file's date: 'path' the leftmost stamp of its path, 'stamp' the .D stamp of its name, 'year' and 'quarter' the end of what its name says, 'load' today."""
+    name = P.base_name(path)
+    return {"path": P.short_stamp_date(path), "stamp": P.creation_date(name), "year": P.year_end(name), "quarter": P.quarter_end(P.quarter_token(name)), "load": F.current_date()}[family]
+
+
+def with_workbook_metadata(df: DataFrame, family: str, org: str, token: str = "") -> DataFrame:
     """Lineage of workbooks and what their path says of organisation, years, submission and period.
 
-    `family` says which date a file has: 'stamp' its .D stamp, 'year' the end of its
-    .Y year, 'quarter' the end of its quarter, 'load' the day it is loaded.
+    `family` says which date a file has (see `file_dates`) and what its period is: of 'stamp'
+    the submission, of 'year' Y and the year, else the quarter. The year follows `token`.
     """
     path, name = F.col("file_path"), P.base_name(F.col("file_path"))
-    quarter = P.quarter_token(name)
-    dates = {"stamp": P.creation_date(name), "year": P.year_end(name), "quarter": P.quarter_end(quarter), "load": F.current_date()}
-    year = F.nullif(F.regexp_extract(name, r"\.Y([0-9]{4})\.", 1), F.lit(""))
-    return with_lineage(df, dates[family]).withColumns(
-        {"aco_id": F.lit(org), "performance_year": P.year_segment(path, org), "benchmark_year": year, "submission_id": P.submission_id(name), "period": quarter}
+    year = F.nullif(F.regexp_extract(name, re.escape(token.rstrip(".")) + r"\.Y([0-9]{4})\.", 1), F.lit(""))
+    submission = P.submission_id(name)
+    period = {"stamp": submission, "year": F.concat(F.lit("Y"), year)}.get(family, P.quarter_token(name))
+    date = F.make_date(year.cast("int"), F.lit(12), F.lit(31)) if family == "year" else file_dates(family, path)
+    return with_lineage(df, date).withColumns(
+        {"aco_id": F.lit(org), "performance_year": P.year_segment(path, org), "benchmark_year": year, "submission_id": submission, "period": period}
     )
 
 

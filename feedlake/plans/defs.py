@@ -42,16 +42,6 @@ def read_layouts(path: str) -> dict[str, Layout]:
     return {name: Layout.parse(name, fields, token, header == "yes") for name, token, header, fields in found}
 
 
-@dataclass(frozen=True)
-class Feed:
-    """A family of files: where they lie below a root, how they are read, where their rows go."""
-
-    name: str
-    glob: str
-    kind: str = "fixed_width"
-    layout: Layout | None = None
-
-
 @dataclass(frozen=True)
 class Sheet:
     """A sheet of a workbook family: its name's LIKE pattern and how it is read.
@@ -66,7 +56,28 @@ class Sheet:
     header_row: int | None = None
     labels: tuple[str, ...] = ()
     include_notes: bool = False
-    optional: bool = False
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A family of files: where they lie below a root, how they are read, where their rows go.
+
+    kind: fixed_width, csv, xml, zip_csv (CSV members of archives), quality (a workbook or,
+    in later years, a CSV member of archives) or sheet (a sectioned sheet of workbooks).
+    member: a glob of members' names. dates: 'path' the path's stamp, else a rule of
+    `with_workbook_metadata`. token: what in a workbook's name comes before its year.
+    batch: files read and appended at once, all where it is None.
+    """
+
+    name: str
+    glob: str
+    kind: str = "fixed_width"
+    layout: Layout | None = None
+    member: str = "*"
+    sheet: Sheet | None = None
+    dates: str = "path"
+    token: str = ""
+    batch: int | None = None
 
 
 #: The relation that every sectioned sheet becomes (fixed values).

@@ -95,7 +95,7 @@ def key_value_sheet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def optional_sheet_empty(spark: SparkSession, sf: str) -> DataFrame:
-    return S.tidy_sheets(cells(spark, sf), Sheet("absent", r"Table\_9-%", optional=True)).drop("sheet")
+    return S.tidy_sheets(cells(spark, sf), Sheet("absent", r"Table\_9-%")).drop("sheet")
 
 
 def sheet_pattern_match(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from feedlake.operators.naming import align_by_name
 
@@ -13,12 +14,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def write(df: DataFrame, target: str, mode: str = "append") -> None:
-    """Parquet at a path; an append is aligned by name to what is there, and rewrites nothing."""
+def write(df: DataFrame, target: str, mode: str = "append", widen: bool = False) -> None:
+    """Parquet at a path; an append is aligned by name to what is there, and rewrites nothing.
+
+    Columns that the target lacks are an error, or with `widen` they are added: files
+    written before don't have them, and readers see them by `mergeSchema`.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be 'append' or 'overwrite'")
     if mode == "append" and path_exists(df.sparkSession, target):
-        df = align_by_name(df, df.sparkSession.read.parquet(target).schema)
+        there = df.sparkSession.read.option("mergeSchema", widen).parquet(target).schema
+        if widen:
+            have = {f.name.lower() for f in there}
+            there = StructType(list(there) + [f for f in df.schema if f.name.lower() not in have])
+        df = align_by_name(df, there)
     df.write.mode(mode).parquet(target)
 
 

@@ -20,7 +20,7 @@ def header_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     A line with an odd number of quotes opens or closes such a field. Lines of a
     file's first block come in order within a task.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.text(paths).select("value", plain_path(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("start"))
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     place = F.when(F.col("start") == 0, F.monotonically_increasing_id())
     numbered = lines.select("file", "value", place.alias("place"), (quotes % 2 == 1).alias("odd"))
