@@ -35,20 +35,19 @@ def unit_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v): vectors of length 1 as doubles; null, empty, zero and non-finite ones are left out, as is a null id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, out = [], []
-            for i, x in zip(b.column("id").to_pylist(), b.column("v").to_pylist(), strict=True):
-                if i is None or not x or any(y is None for y in x):
-                    continue
-                v = np.array(x, np.float64)
-                if not np.isfinite(v).all():
-                    continue
-                scale = np.abs(v).max()
-                if scale > 0:
-                    v = v / scale
-                    ids.append(i)
-                    out.append((v / np.sqrt((v * v).sum())).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["id", "v"])
+        for mixed in batches:
+            size = pc.if_else(pc.is_null(mixed.column("id")), None, pc.list_value_length(mixed.column("v")))
+            for n in pc.unique(size).to_pylist():
+                if n:
+                    b = mixed.filter(pc.equal(size, n))
+                    x = b.column("v").flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, n)
+                    scale = np.abs(x).max(axis=1)
+                    good = np.isfinite(scale) & (scale > 0)
+                    x = x[good] / scale[good, None]
+                    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+                    cuts = pa.py_buffer((np.arange(len(x) + 1) * n * 8).astype(np.int32))
+                    packed = pa.Array.from_buffers(pa.binary(), len(x), [None, cuts, pa.py_buffer(np.ascontiguousarray(x))])
+                    yield pa.RecordBatch.from_arrays([b.column("id").filter(pa.array(good)), packed], ["id", "v"])
 
     return table.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, "id bigint, v binary")
 
