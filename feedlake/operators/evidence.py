@@ -77,6 +77,14 @@ def append_evidence(records: DataFrame, path: str) -> int:
     return records.count()
 
 
+def append_metrics(records: DataFrame, contract: DataFrame, path: str) -> int:
+    """Append metric records of runs, all or none: undeclared metrics and declared ones that a touched stage lacks refuse the batch."""
+    gap = metric_gaps(records.select("run_id", "stage_id", "metric_id"), contract).limit(1).collect()
+    if gap:
+        raise ValueError(f"metric {gap[0]['metric_id']} of {gap[0]['stage_id']} is {gap[0]['gap']}")
+    return append_evidence(records, path)
+
+
 def run_summary(records: DataFrame) -> DataFrame:
     """(run_id, kind, key, state): the last word on every stage, prerequisite, metric and artifact of a run."""
     t = F.col("record_type")

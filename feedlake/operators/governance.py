@@ -47,7 +47,12 @@ def column_violations(written: DataFrame, declared: DataFrame, exempt: list[str]
 
 
 def readiness(gates: DataFrame, observed: DataFrame) -> DataFrame:
-    """(gate, ordinal, expected, observed, ready) in policy order; an unobserved gate is ready only if null is expected."""
+    """(gate, ordinal, expected, observed, ready) in policy order; an unobserved gate is ready only if null is expected.
+
+    A gate without a name is an error (one small job over the policy).
+    """
+    if gates.filter(F.trim(F.coalesce("gate", F.lit(""))) == "").limit(1).count():
+        raise ValueError("a gate needs a name")
     both = gates.join(observed, "gate", "left")
     return both.select("gate", "ordinal", "expected", "observed", F.col("expected").eqNullSafe(F.col("observed")).alias("ready"))
 

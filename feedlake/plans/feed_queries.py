@@ -10,12 +10,13 @@ from feedlake import fixtures, sinks
 from feedlake.functions.text import join_list, ordered_list
 from feedlake.operators import ingest as I
 from feedlake.operators import naming
+from feedlake.operators.readers import cell_grain
 from feedlake.operators.sheets import union_by_name, wide_unpivot
 from feedlake.sources import csv_feed, fixed_width, listing, workbook, xml_feed, zip_feed
 from feedlake.streaming.ingest import stream_ingest
 from feedlake.workspace import table, workspace
 
-from .defs import Feed, Layout
+from .defs import Feed, Layout, Sheet
 
 LINES = Layout.parse("lines", "orderkey:12, linenumber:3, partkey:12, quantity:6, cents:14, flag:1, shipdate:10")
 CUSTOMERS = Layout.parse("customers", "custkey:12, name:30, segment:15", header=True)
@@ -168,6 +169,19 @@ def workbook_sheet_table(spark: SparkSession, sf: str) -> DataFrame:
     return workbook.pivot_header(workbook.read_cells(_books(spark, sf)), "Small", ["partkey", "type", "cents"]).drop("row_num")
 
 
+def workbook_cell_grain(spark: SparkSession, sf: str) -> DataFrame:
+    feed = Feed("parts", "*.xlsx", "sheet", sheet=Sheet("parts", "Small"), dates="stamp")
+    grain = cell_grain(workbook.read_cells(_books(spark, sf)), feed, "store")
+    return grain.select("row_num", "row_label", "column_label", "value_text", "file_path", "directory_name", "file_name")
+
+
+def external_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    path, s = workspace(spark, "external"), table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    for k, mode in enumerate(("overwrite", "append")):
+        sinks.external_writer(s.filter(f"s_suppkey % 2 = {k}"), "json", {"path": path, "compression": "gzip"}, mode).save()
+    return spark.read.schema("s_suppkey bigint, s_name string").json(path)
+
+
 def decode_error_rollup(spark: SparkSession, sf: str) -> DataFrame:
     books = _books(spark, sf)
     broken = F.pmod(F.regexp_extract("path", r"B(\d+)", 1).cast("bigint"), F.lit(3)) == 0
@@ -295,7 +309,7 @@ QUERIES = {
     "csv_drop_malformed": csv_drop_malformed, "csv_normalize_headers": csv_normalize_headers, "zip_member_list": zip_member_list,
     "member_routing": member_routing, "zip_member_scan": zip_member_scan, "member_safety_audit": member_safety_audit, "xml_explode": xml_explode,
     "list_string_agg": list_string_agg, "ordered_array_agg": ordered_array_agg, "workbook_cells": workbook_cells, "workbook_sheet_names": workbook_sheet_names,
-    "workbook_sheet_table": workbook_sheet_table, "decode_error_rollup": decode_error_rollup, "mixed_format_union": mixed_format_union,
+    "workbook_sheet_table": workbook_sheet_table, "decode_error_rollup": decode_error_rollup, "workbook_cell_grain": workbook_cell_grain, "external_sink_roundtrip": external_sink_roundtrip, "mixed_format_union": mixed_format_union,
     "discover_files": discover_files, "incremental_append": incremental_append, "full_refresh_overwrite": full_refresh_overwrite,
     "stream_ingest": stream_ingest_query, "incremental_missing_files": incremental_missing_files, "loaded_paths": loaded_paths_query,
     "append_by_name": append_by_name, "table_sink_roundtrip": table_sink_roundtrip, "column_case_normalize": column_case_normalize,
@@ -342,6 +356,11 @@ ORACLES = {
     "workbook_sheet_table": _CELLS + """
         SELECT file_path, p_partkey::VARCHAR AS partkey, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS type,
                (round(p_retailprice * 100)::BIGINT)::VARCHAR AS cents FROM p WHERE sheet = 'Small'""",
+    "workbook_cell_grain": _CELLS + """,
+        s AS (SELECT row_num, p_partkey::VARCHAR AS row_label, file_path, '/store' AS directory_name, substr(file_path, 8) AS file_name, p_type, p_retailprice, p_partkey FROM r WHERE sheet = 'Small')
+        SELECT row_num, row_label, 'TYPE' AS column_label, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS value_text, file_path, directory_name, file_name FROM s
+        UNION ALL SELECT row_num, row_label, 'CENTS', (round(p_retailprice * 100)::BIGINT)::VARCHAR, file_path, directory_name, file_name FROM s""",
+    "external_sink_roundtrip": "SELECT s_suppkey, s_name FROM supplier",
     "decode_error_rollup": """
         WITH f AS (SELECT DISTINCT p_partkey // 200 AS g FROM part)
         SELECT count(*) AS n_files, count(*) FILTER (g % 3 = 0) AS n_failed, count(*) = count(*) FILTER (g % 3 = 0) AS failed FROM f""",

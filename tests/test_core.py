@@ -229,6 +229,13 @@ def test_evidence_batches_fail_whole(spark, tmp_path):
     with pytest.raises(ValueError, match="value"):
         evidence.append_evidence(spark.createDataFrame([tuple(good.values()), tuple(bad.values())], evidence.SCHEMA), path)
     assert spark.read.text(path).count() == 1
+    contract = spark.createDataFrame([("s", "m"), ("s", "n")], "stage_id string, metric_id string")
+    with pytest.raises(ValueError, match="n of s is missing"):
+        evidence.append_metrics(spark.createDataFrame([tuple(good.values())], evidence.SCHEMA), contract, path)
+    with pytest.raises(ValueError, match="undeclared"):
+        evidence.append_metrics(spark.createDataFrame([tuple(good.values())], evidence.SCHEMA), contract.limit(0), path)
+    assert spark.read.text(path).count() == 1
+    assert evidence.append_metrics(spark.createDataFrame([tuple(good.values())], evidence.SCHEMA), contract.filter("metric_id = 'm'"), path) == 1
     odd = spark.createDataFrame([('{"run_id":"r","seq":1,"occurred_at":"t","record_type":"stage_blocked","stage_id":"s","prerequisite_id":"p"}',)], "value string")
     assert evidence.parse_evidence(odd).first()["problem"] == "missing_field"
 
@@ -238,6 +245,8 @@ def test_readiness_and_exit_codes(spark):
     seen = spark.createDataFrame([("a", "x"), ("c", "z")], "gate string, observed string")
     assert [r["ready"] for r in governance.readiness(gates, seen).orderBy("ordinal").collect()] == [True, True, False]
     assert governance.readiness(gates.limit(0), seen).count() == 0
+    with pytest.raises(ValueError, match="name"):
+        governance.readiness(spark.createDataFrame([(" ", 1, "x")], gates.schema), seen)
     events = spark.createDataFrame([("t", 1, 0), ("t", 2, None), ("u", 1, 0), ("v", 1, 3), ("v", 2, 4)], "task string, ordinal int, code int")
     assert {r["task"]: (r["status"], r["code"]) for r in governance.task_exit(events).collect()} == {"t": ("failed", None), "u": ("succeeded", None), "v": ("failed", 3)}
 
