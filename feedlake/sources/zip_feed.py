@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.paths import plain_path
 from feedlake.operators.naming import unique_names
+from feedlake.workspace import workspace
 
 #: Lines handed to Spark at once, so that a large member never lies in memory whole.
 LINES = 5000
@@ -95,10 +96,12 @@ def member_rows(archives: DataFrame, members: DataFrame) -> DataFrame:
 def read_zip_csv(archives: DataFrame, members: DataFrame) -> DataFrame:
     """The chosen CSV members united by column name (upper case), every column a string, file_path archive!member.
 
-    The rows should be written first if they are costly: they are read once for the
-    headers, of which the driver sees the different ones, and once for the rows.
+    Archives are unpacked once, into a written table of rows; it is read for the headers,
+    of which the driver sees the different ones, and for the rows of each of them.
     """
-    rows = member_rows(archives, members).withColumn("file_path", F.concat("archive", F.lit("!"), "member"))
+    spark, path = archives.sparkSession, workspace(archives.sparkSession, "members")
+    member_rows(archives, members).withColumn("file_path", F.concat("archive", F.lit("!"), "member")).write.parquet(path)
+    rows = spark.read.schema("archive string, member string, row_no bigint, cells array<string>, file_path string").parquet(path)
     headers = rows.filter("row_no = 0").select("file_path", F.col("cells").alias("header"))
     frames = []
     for h in sorted({tuple(r["header"]) for r in headers.select("header").distinct().collect()}):
