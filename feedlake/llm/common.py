@@ -9,6 +9,19 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of rows that Spark gathers for a Python worker at once, where the user set nothing.
+ARROW_BYTES, _ARROW = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, as 10,000 rows of long texts fill a task's memory.
+
+    A bound that the application was started with stays. The setting is the session's, as Spark
+    reads it when a plan is run; it changes how rows are sent, never a result.
+    """
+    if spark.sparkContext.getConf().get(_ARROW) is None:
+        spark.conf.set(_ARROW, ARROW_BYTES)
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder shared by driver and executors, from spark.checkpoint.dir.
@@ -34,6 +47,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.base = f"{shared_root(spark)}/feedlake/{name}-{uuid.uuid4().hex[:12]}"
         self.n = 0

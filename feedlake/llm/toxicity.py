@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .encode import split_batches
 from .subword import gram_buckets, joined, word_spans
 
@@ -148,6 +149,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     constant score; rows that repeat get the same score each; without labels of
     both classes every text gets the share of toxic labels.
     """
+    bound_batches(docs.sparkSession)
     rows = training_rows(docs, labels, id_col, text_col).orderBy("t", "y").collect()
     model = train([r["t"] for r in rows], np.array([r["y"] for r in rows]))
     kind = docs.schema[id_col].dataType.simpleString()
