@@ -31,7 +31,7 @@ from .encode import split_batches
 #: The word mark, which stands for a space, and the kinds of pieces (fixed values).
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-#: Words and pairs of tokens remembered by one Python worker, and the longest word kept.
+#: Words (of this and of the last filling) and pairs of tokens remembered by one Python worker, and the longest word kept.
 WORDS, PAIRS, WORD = 250_000, 1_000_000, 64
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -68,6 +68,7 @@ class PieceModel:
         self.known = re.compile("[" + re.escape("".join(sorted(p for p in self.score if len(p) == 1))) + "]+|.", re.DOTALL)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """Greedy merging, of short texts only: the neighbours whose union has the best score, the leftmost of equals."""
@@ -97,10 +98,15 @@ class PieceModel:
     def _part(self, text: str) -> list[int]:
         """The tokens of a text of known characters, by the last token of each prefix."""
         last = [-1] * (len(text) + 1)
-        size = [0] * (len(text) + 1)
+        size = last.copy()
+        known = self.pairs.get
         for at, (token, length) in self.automaton.iter(text):
             end = at + 1
-            if last[end] < 0 and (length == end or self.compatible(last[end - length], token)):
+            if last[end] < 0:
+                if length < end:
+                    fits = known((last[end - length], token))
+                    if fits is False or fits is None and not self.compatible(last[end - length], token):
+                        continue
                 last[end], size[end] = token, length
         out, end = [], len(text)
         while end:
@@ -111,24 +117,24 @@ class PieceModel:
 
     def word(self, word: str) -> bytes:
         """The ids of a word, as bytes of 32-bit numbers."""
-        found = self.words.get(word)
+        found = self.words.get(word) or self.older.get(word)
         if found is None:
             ids: list[int] = []
             for part in self.known.findall(word):
                 ids += self._part(part) if part[0] in self.score else [self.byte[b] for b in part.encode()]
             found = array("i", ids).tobytes()
-            if len(word) <= WORD:
-                if len(self.words) >= WORDS:
-                    self.words.clear()
-                self.words[word] = found
+        if len(word) <= WORD:
+            if len(self.words) >= WORDS:
+                self.words, self.older = {}, self.words
+            self.words[word] = found
         return found
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, without an end id; an empty text has none."""
         if not text:
             return b""
-        get, word = self.words.get, self.word
-        return b"".join([get(w) or word(w) for w in _WORDS.findall(MARK + text.replace(" ", MARK))])
+        words, word = self.words, self.word
+        return b"".join([words.get(w) or word(w) for w in _WORDS.findall(MARK + text.replace(" ", MARK))])
 
     def decode(self, lists: pa.ListArray) -> pa.Array:
         """The texts of lists of ids; control ids say nothing, the first mark goes, bytes that are no UTF-8 become U+FFFD."""
