@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.plans.defs import Feed
-from feedlake.sinks import path_exists, write
-from feedlake.sources.listing import discover, sources
+from feedlake.sources.listing import discover
+from feedlake.sources.store import openable
 
-from .lineage import with_lineage
-from .readers import read_feed
+from . import ledger as L
+from .lineage import split_stamped, with_lineage
+from .readers import chosen_members, read_feed
 
 Reader = Callable[[SparkSession, list[str]], DataFrame]
+ARCHIVES = ("zip_csv", "quality")
+FILES = "file_path string, archive string, member string, path string, source string, reader_path string, size bigint, modified timestamp, packed bigint"
 
 
 def loaded_paths(target: DataFrame) -> DataFrame:
@@ -22,28 +25,63 @@ def loaded_paths(target: DataFrame) -> DataFrame:
     return target.select("file_path").distinct()
 
 
-def missing_files(listing: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Listed files, path and readable locator, that the target has no rows of."""
-    return listing if target is None else listing.join(loaded_paths(target), "file_path", "left_anti")
+def missing_files(listing: DataFrame, loaded: DataFrame | None) -> DataFrame:
+    """Listed files, path and readable locator, that a loaded table or a ledger has no rows of."""
+    return listing if loaded is None else listing.join(loaded_paths(loaded), "file_path", "left_anti")
+
+
+def feed_files(spark: SparkSession, feed: Feed, listing: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files to load, archives that were opened) of a listing, in FILES.
+
+    Files and members that the ledger has are left out, also those without rows; an archive
+    is opened if it is new or its size or time has changed, and only its directory is read.
+    Workbooks whose names have no stamps are left out.
+    """
+    files = listing.select("file_path", F.col("file_path").alias("path"), openable(spark, F.col("source_path")).alias("source"), F.col("source_path").alias("reader_path"), F.col("length").alias("size"), "modified")
+    if feed.kind == "sheet":
+        files, _ = split_stamped(files)
+    nothing = spark.createDataFrame([], FILES)
+    if feed.kind not in ARCHIVES:
+        return nothing.unionByName(missing_files(files, known), allowMissingColumns=True), nothing
+    seen = known.filter("member IS NULL AND archive IS NOT NULL").select(F.col("archive").alias("path"), "size", "modified")
+    opened = files.join(seen, ["path", "size", "modified"], "left_anti")
+    members = chosen_members(opened, feed).join(opened.drop("file_path"), F.col("archive") == F.col("path"))
+    none = nothing.withColumn("archive", F.col("path"))
+    return nothing.unionByName(missing_files(members, known), allowMissingColumns=True), none.unionByName(opened.withColumn("archive", F.col("path")), allowMissingColumns=True)
+
+
+def load_batch(spark: SparkSession, feed: Feed, files: list, target: str, reader: Reader | None = None, org: str = "", batch: str = "") -> None:
+    """Read the files (rows of FILES) and append them with their ledger rows, as one batch that is loaded once or not at all."""
+    part = spark.createDataFrame(files, FILES)
+    if reader is None:
+        rows = read_feed(spark, feed, part, org)
+    else:
+        rows = with_lineage(reader(spark, sorted(r["reader_path"] for r in files)))
+    L.publish(spark, rows, part, target, batch or L.batch_name([r["file_path"] for r in files]), widen=feed.kind in ("csv", *ARCHIVES))
 
 
 def ingest(spark: SparkSession, feed: Feed, root: str, target: str, refresh: bool = False, reader: Reader | None = None, org: str = "") -> int:
     """Read the feed's files that `target` lacks (all with `refresh`), add lineage, append; the number of files read.
 
-    The missing files are collected before the write starts (paths only), since the
-    target is read and written. They are read at once, or `feed.batch` at a time: a
-    batch that was written stays, and the next run goes on behind it. A full refresh
-    overwrites with its first batch and appends the others. Feeds of archives skip an
-    archive of which any member is loaded; `reader` replaces the kind's own.
+    Files, or members of archives, are known by the ledger of `target`; the missing ones are
+    collected (names only) and read at once, or `feed.batch` at a time: a batch that was
+    written stays, and the next run goes on behind it. A full refresh loads beside the table
+    and takes its place at last, so a refresh that fails changes nothing, nor does one that
+    finds no files. `reader` replaces the kind's own.
     """
+    L.recover(spark, target)
     listing = discover(spark, root, feed.glob)
-    known = None if refresh or not path_exists(spark, target) else spark.read.parquet(target)
-    if known is not None and feed.kind in ("zip_csv", "quality"):
-        known = known.select(F.substring_index("file_path", "!", 1).alias("file_path"))
-    paths = sources(missing_files(listing, known))
-    size = feed.batch or max(len(paths), 1)
-    for k in range(0, len(paths), size):
-        part = paths[k : k + size]
-        rows = with_lineage(reader(spark, part)) if reader else read_feed(spark, feed, part, org)
-        write(rows, target, "overwrite" if refresh and k == 0 else "append", widen=feed.kind in ("csv", "zip_csv", "quality"))
-    return len(paths)
+    into = f"{target}__new" if refresh else target
+    new, opened = feed_files(spark, feed, listing, L.read_ledger(spark, into))
+    files, archives = new.orderBy("file_path").collect(), opened.orderBy("path").collect()
+    if refresh and not files:
+        return 0
+    size = feed.batch or max(len(files), 1)
+    for k in range(0, len(files), size):
+        load_batch(spark, feed, files[k : k + size], into, reader, org)
+    if archives:
+        names = [f"{r['path']} {r['size']} {r['modified']}" for r in archives]
+        L.publish(spark, None, spark.createDataFrame(archives, FILES), into, L.batch_name(names))
+    if refresh:
+        L.replace(spark, target)
+    return len(files)

@@ -24,6 +24,12 @@ def unique_names(names: list[str]) -> list[str]:
     return out
 
 
+def header_names(header: list[str]) -> list[str]:
+    """A header's names, trimmed; one without a name is `column` and its place from 0, as wide as the last."""
+    wide = len(str(max(len(header) - 1, 0)))
+    return [n.lstrip("\ufeff").strip() or f"column{k:0{wide}d}" for k, n in enumerate(header)]
+
+
 def dedupe_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*unique_names(df.columns))
 

@@ -15,9 +15,9 @@ from feedlake.sources.csv_feed import read_csv_union
 from feedlake.sources.fixed_width import read_fixed_width
 from feedlake.sources.xml_feed import explode_records, read_xml_documents
 
-from .lineage import file_dates, split_stamped, with_lineage, with_workbook_metadata
+from .lineage import file_dates, with_lineage, with_workbook_metadata
 from .naming import dedupe_columns
-from .sheets import tidy_sheets, union_by_name
+from .sheets import tidy_family, union_by_name
 
 #: The document of exclusions (fixed values).
 EXCLUSIONS_TAG = "PFDCACOBeneData"
@@ -38,8 +38,12 @@ def read_exclusions(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def cell_grain(cells: DataFrame, feed: Feed, org: str) -> DataFrame:
-    """A feed's sectioned sheets, tidy, in the columns and types of CELL_GRAIN."""
-    tidy = with_workbook_metadata(tidy_sheets(cells, feed.sheet, check=True), feed.dates, org, feed.token)
+    """A feed's sectioned sheets, tidy, in the columns and types of CELL_GRAIN; a sheet that can't be read ends the job."""
+    return as_cell_grain(tidy_family(cells, [feed.sheet], strict=True), feed, org)
+
+
+def as_cell_grain(tidy: DataFrame, feed: Feed, org: str) -> DataFrame:
+    tidy = with_workbook_metadata(tidy, feed.dates, org, feed.token)
     return tidy.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CELL_GRAIN])
 
 
@@ -50,41 +54,57 @@ def headed_sheet(cells: DataFrame, sheet: str) -> DataFrame:
     return workbook.pivot_header(cells, sheet, [r["name"] for r in names]).drop("row_num")
 
 
-def chosen_members(archives: DataFrame, pattern: str) -> DataFrame:
-    """(archive, member, file_path) of the safe members whose name fits a glob, data dictionaries left out."""
+def chosen_members(archives: DataFrame, feed: Feed) -> DataFrame:
+    """(archive, member, packed, file_path) of the safe members that belong to a feed, data dictionaries left out.
+
+    Members of quality archives are workbooks up to LAST_WORKBOOK_YEAR, if the feed has a sheet, and CSV behind it. Reports' file
+    paths are the archive and the member without a mark between, those of quality members have one.
+    """
     members = zip_feed.audit_members(zip_feed.list_members(archives)).filter("error IS NULL AND size(violations) = 0")
-    fits = F.col("member").rlike("^" + translate(pattern))
-    return members.filter(fits & ~F.col("member").contains("Dictionary")).select("archive", "member", F.concat("archive", F.lit("!"), "member").alias("file_path"))
+    fits = F.col("member").rlike("^" + translate(feed.member))
+    if feed.kind == "quality":
+        late = F.coalesce(F.regexp_extract("archive", r"\.([0-9]{4})Q[0-9]\.", 1).try_cast("int") > LAST_WORKBOOK_YEAR, F.lit(False))
+        book = F.col("member").rlike("^" + translate("*.xlsx")) if feed.sheet is not None else F.lit(False)
+        fits = F.when(late, fits).otherwise(book)
+    path = F.concat("archive", F.lit("!" if feed.kind == "quality" else ""), "member")
+    return members.filter(fits & ~F.col("member").contains("Dictionary")).select("archive", "member", "packed", path.alias("file_path"))
 
 
-def _quality(archives: DataFrame, feed: Feed) -> DataFrame:
-    """Measures of archives: the named sheet of a workbook up to LAST_WORKBOOK_YEAR, behind it the CSV member."""
-    year = F.regexp_extract("path", r"\.([0-9]{4})Q[0-9]\.", 1).try_cast("int")
-    late = F.coalesce(year > LAST_WORKBOOK_YEAR, F.lit(False))
-    new = archives.filter(late)
-    parts = [zip_feed.read_zip_csv(new, chosen_members(new, feed.member))]
+def _quality(archives: DataFrame, members: DataFrame, feed: Feed) -> DataFrame:
+    """Measures of archives: the named sheet of workbooks, and CSV members."""
+    book = F.col("member").endswith(".xlsx")
+    parts = [zip_feed.read_zip_csv(archives, members.filter(~book))]
     if feed.sheet is not None:
-        old = archives.filter(~late)
-        books = old.join(chosen_members(old, "*.xlsx"), old["path"] == F.col("archive")).select(F.col("file_path").alias("path"), "content", F.col("member").alias("inner"))
+        inner = members.filter(book).select("archive", F.col("file_path").alias("own"), F.col("member").alias("inner"))
+        books = archives.join(inner, archives["path"] == F.col("archive")).select(F.col("own").alias("path"), "source", "inner")
         parts.append(headed_sheet(workbook.read_cells(books), feed.sheet.pattern))
     out = union_by_name(parts)
-    whole = F.replace(F.col("file_path"), F.lit("!"), F.lit("/"))
-    period = P.quarter_token(F.regexp_extract(whole, r"([^/]+/[^/]+)$", 1))
     archive, member = F.substring_index("file_path", "!", 1), F.substring_index("file_path", "!", -1)
+    period = F.nullif(F.regexp_extract(F.concat(archive, F.lit("/"), member), r"\.([0-9]{4}Q[0-9])\.", 1), F.lit(""))
     return out.withColumns({"directory_name": archive, "file_name": member, "file_date": P.quarter_end(period), "period": period})
 
 
-def read_feed(spark: SparkSession, feed: Feed, paths: list[str], org: str = "") -> DataFrame:
-    """All rows of a feed's files with lineage, by the feed's kind; archives and workbooks are decoded in tasks."""
+def _reports(archives: DataFrame, members: DataFrame, feed: Feed) -> DataFrame:
+    """CSV members of archives; the mark between archive and member stays in the file's name, not in its path."""
+    rows = zip_feed.read_zip_csv(archives, members)
+    path = F.col("file_path")
+    names = {"directory_name": P.directory_name(path), "file_name": P.base_name(path), "file_date": file_dates(feed.dates, path)}
+    return rows.withColumns(names).withColumn("file_path", F.replace(path, F.lit("!"), F.lit("")))
+
+
+def read_feed(spark: SparkSession, feed: Feed, files: DataFrame, org: str = "") -> DataFrame:
+    """All rows of a feed's files with lineage, by the feed's kind; archives and workbooks are decoded in tasks.
+
+    `files` has file_path, path, source and, for archives, member and packed bytes.
+    """
     if feed.kind == "sheet":
-        books, _ = split_stamped(zip_feed.read_archives(spark, paths).withColumnRenamed("path", "file_path"))
-        return cell_grain(workbook.read_cells(books.withColumnRenamed("file_path", "path")), feed, org)
-    if feed.kind == "quality":
-        return _quality(zip_feed.read_archives(spark, paths), feed)
-    if feed.kind == "zip_csv":
-        archives = zip_feed.read_archives(spark, paths)
-        rows = zip_feed.read_zip_csv(archives, chosen_members(archives, feed.member))
-    elif feed.kind == "csv":
+        return cell_grain(workbook.read_cells(files.select("path", "source")), feed, org)
+    if feed.kind in ("quality", "zip_csv"):
+        archives = files.select("path", "source").distinct()
+        members = files.select(F.col("path").alias("archive"), "member", "packed", "file_path")
+        return (_quality if feed.kind == "quality" else _reports)(archives, members, feed)
+    paths = [r[0] for r in files.select("reader_path").orderBy("reader_path").collect()]
+    if feed.kind == "csv":
         rows = read_csv_union(spark, paths)
     elif feed.kind == "xml":
         rows = read_exclusions(spark, paths)

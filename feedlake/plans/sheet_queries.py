@@ -57,33 +57,29 @@ def cells(spark: SparkSession, sf: str, two_rows: bool = False) -> DataFrame:
     return main.unionByName(other).unionByName(params).filter("value IS NOT NULL").withColumn("error", F.lit(None).cast("string"))
 
 
-def _main(c: DataFrame) -> DataFrame:
-    return c.filter(F.col("sheet").like(MAIN.pattern))
+def _grid(spark: SparkSession, sf: str, two_rows: bool = False) -> DataFrame:
+    return S.sheet_grid(cells(spark, sf, two_rows), [MAIN])
 
 
 def sheet_header_detect(spark: SparkSession, sf: str) -> DataFrame:
-    return S.detect_headers(_main(cells(spark, sf))).select("file_path", "header_row")
+    return S.sheet_headers(_grid(spark, sf)).select("file_path", "header_row")
 
 
 def sheet_row_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    c = _main(cells(spark, sf))
-    return S.sheet_bounds(c, S.merge_headers(c, S.detect_headers(c))).select("file_path", "last_row", "notes_row")
+    return S.sheet_headers(_grid(spark, sf)).select("file_path", "last_row", "notes_row")
 
 
 def footnote_filter(spark: SparkSession, sf: str) -> DataFrame:
-    c = _main(cells(spark, sf))
-    return S.body_rows(c, S.sheet_bounds(c, S.merge_headers(c, S.detect_headers(c)))).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.max("row_num").alias("last"))
+    return S.body_rows(_grid(spark, sf), [MAIN]).groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.max("row_num").alias("last"))
 
 
 def two_row_header_merge(spark: SparkSession, sf: str) -> DataFrame:
-    c = _main(cells(spark, sf, True))
-    return S.merge_headers(c, S.detect_headers(c)).select("file_path", F.col("col_idx").cast("bigint").alias("col_idx"), "column_group", "column_label", "last_row")
+    each = S.sheet_headers(_grid(spark, sf, True)).select("file_path", "last_row", F.explode("columns").alias("c"))
+    return each.select("file_path", F.col("c.col_idx").cast("bigint").alias("col_idx"), "c.column_group", "c.column_label", "last_row")
 
 
 def section_forward_fill(spark: SparkSession, sf: str) -> DataFrame:
-    c = _main(cells(spark, sf))
-    columns = S.merge_headers(c, S.detect_headers(c))
-    return S.fill_sections(S.body_rows(c, S.sheet_bounds(c, columns)), c, columns).drop("sheet")
+    return S.fill_sections(S.body_rows(_grid(spark, sf), [MAIN])).drop("sheet_no", "sheet", "columns", "vals")
 
 
 def sheet_unpivot(spark: SparkSession, sf: str) -> DataFrame:

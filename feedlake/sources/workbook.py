@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import open_file
+
 CELLS = "file_path string, sheet string, row_num bigint, col_idx int, value string, error string"
 _ROWS = 20_000
 
@@ -39,9 +41,13 @@ def column_index(ref: str) -> int:
     return n - 1
 
 
-def sheet_cells(content: bytes, inner: str | None = None) -> Iterator[tuple[str, int, int, str]]:
-    """(sheet, row number from 1, column from 0, text) of every cell that has a value; `inner` names a workbook inside an archive."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
+def sheet_cells(content: bytes | str, inner: str | None = None) -> Iterator[tuple[str, int, int, str]]:
+    """(sheet, row number from 1, column from 0, text) of every cell that has a value.
+
+    `content` is a workbook or the locator of one, read by ranges; `inner` names a workbook inside
+    an archive, of which that member alone comes into memory.
+    """
+    with zipfile.ZipFile(open_file(content) if isinstance(content, str) else io.BytesIO(content)) as z:
         if inner:
             yield from sheet_cells(z.read(inner))
             return
@@ -76,12 +82,12 @@ def sheet_cells(content: bytes, inner: str | None = None) -> Iterator[tuple[str,
 
 
 def read_cells(books: DataFrame) -> DataFrame:
-    """(file_path, sheet, row_num, col_idx, value, error) of `books` (path, content, optionally inner).
+    """(file_path, sheet, row_num, col_idx, value, error) of `books` (path, source or content, optionally inner).
 
     Blank cells are absent, row numbers are the sheet's own. A workbook that can't
     be decoded is one row with `error`.
     """
-    has_inner = "inner" in books.columns
+    has_inner, handle = "inner" in books.columns, "source" if "source" in books.columns else "content"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["file_path", "sheet", "row_num", "col_idx", "value", "error"]
@@ -90,7 +96,7 @@ def read_cells(books: DataFrame) -> DataFrame:
                 path, inner = f["path"].iloc[k], f["inner"].iloc[k] if has_inner else None
                 rows = []
                 try:
-                    for cell in sheet_cells(f["content"].iloc[k], inner):
+                    for cell in sheet_cells(f[handle].iloc[k], inner):
                         rows.append((path, *cell, None))
                         if len(rows) >= _ROWS:
                             yield pd.DataFrame(rows, columns=names)
@@ -100,7 +106,7 @@ def read_cells(books: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=names).astype({"row_num": "Int64", "col_idx": "Int32"})
 
-    return books.select("path", "content", *(["inner"] if has_inner else [])).mapInPandas(run, CELLS)
+    return books.select("path", handle, *(["inner"] if has_inner else [])).mapInPandas(run, CELLS)
 
 
 def sheet_names(cells: DataFrame) -> DataFrame:

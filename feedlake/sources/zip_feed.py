@@ -1,45 +1,62 @@
-"""Archives: members, their safety, and CSV members as rows."""
+"""Archives: members, their safety, and CSV members as rows.
+
+An archive is a row with its `source`, which tasks open and read by ranges, so that neither
+archives nor members need fit in memory; or, for small ones that come from a table, with
+its `content`.
+"""
 
 from __future__ import annotations
 
 import csv
 import io
+import json
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from feedlake.operators.naming import header_names, unique_names
 
-from feedlake.functions.paths import plain_path
-from feedlake.operators.naming import unique_names
-from feedlake.workspace import workspace
+from .store import list_files, open_file
 
-#: Lines handed to Spark at once, so that a large member never lies in memory whole.
-LINES = 5000
+#: Lines handed to Spark at once, and bytes of packed members that one task reads; a larger member has a task of its own.
+LINES, PART = 5000, 64 << 20
+ROWS = "archive string, member string, row_no bigint, cells array<string>"
 
 
 def read_archives(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(path, content) of archive files. One archive is one row: up to 2 GB each."""
-    return spark.read.format("binaryFile").load(paths).select(plain_path(F.col("_metadata.file_path")).alias("path"), "content")
+    """(path, source, size, modified) of archive files, which aren't read yet."""
+    return list_files(spark, paths)
+
+
+def _handle(archives: DataFrame) -> str:
+    return "source" if "source" in archives.columns else "content"
+
+
+def _open(handle: str | bytes) -> zipfile.ZipFile:
+    return zipfile.ZipFile(open_file(handle) if isinstance(handle, str) else io.BytesIO(handle))
 
 
 def list_members(archives: DataFrame) -> DataFrame:
-    """(archive, member, size, attributes, error) from each archive's directory; members aren't unpacked."""
+    """(archive, member, size, packed, attributes, error) from each archive's directory, which is all that is read of it."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
-            for path, content in zip(f["path"], f["content"], strict=True):
+            for path, handle in zip(f["path"], f.iloc[:, 1], strict=True):
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        rows += [(path, i.filename, i.file_size, i.external_attr >> 16, None) for i in z.infolist() if not i.is_dir()]
+                    with _open(handle) as z:
+                        rows += [(path, i.filename, i.file_size, i.compress_size, i.external_attr >> 16, None) for i in z.infolist() if not i.is_dir()]
                 except zipfile.BadZipFile as e:
-                    rows.append((path, None, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "attributes", "error"])
+                    rows.append((path, None, None, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=["archive", "member", "size", "packed", "attributes", "error"])
 
-    return archives.select("path", "content").mapInPandas(run, "archive string, member string, size bigint, attributes bigint, error string")
+    return archives.select("path", _handle(archives)).mapInPandas(run, "archive string, member string, size bigint, packed bigint, attributes bigint, error string")
 
 
 def audit_members(members: DataFrame) -> DataFrame:
@@ -63,51 +80,143 @@ def route_members(members: DataFrame, suffix: str, year: int, last_workbook_year
     return members.filter(name.endswith(suffix.lower() + ending) & ~name.contains("dictionary"))
 
 
+def _records(z: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
+    """The records of a member from its header on; the member is unpacked as it is read."""
+    with z.open(member) as raw:
+        for cells in csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline="")):
+            if cells:
+                yield cells
+
+
+def _batches(handle: str | bytes, archive: str, members: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of ROWS, the header as row 0; records whose number of cells differs from the header's are dropped."""
+    names = ["archive", "member", "row_no", "cells"]
+    with _open(handle) as z:
+        for member in members:
+            width, numbers, rows = None, [], []
+
+            def batch() -> pa.RecordBatch:
+                columns = [pa.array([archive] * len(rows)), pa.array([member] * len(rows)), pa.array(numbers, pa.int64()), pa.array(rows, pa.list_(pa.string()))]  # noqa: B023
+                return pa.RecordBatch.from_arrays(columns, names)
+
+            for k, cells in enumerate(_records(z, member)):
+                width = len(cells) if width is None else width
+                if len(cells) == width:
+                    numbers.append(k)
+                    rows.append(cells)
+                if len(rows) >= LINES:
+                    yield batch()
+                    numbers, rows = [], []
+            if rows:
+                yield batch()
+
+
+class MemberPart(InputPartition):
+    """Members read by one task: (source, archive, member)."""
+
+    def __init__(self, members: list[tuple[str, str, str]]):
+        self.members = members
+
+
+class MemberReader(DataSourceReader):
+    """Small members share a task, a large one has its own; each is unpacked in pieces of LINES records."""
+
+    def __init__(self, options: dict[str, str]):
+        self.members = [tuple(m) for m in json.loads(options["members"])]
+        self.part = int(options.get("partBytes", PART))
+
+    def partitions(self) -> list[MemberPart]:
+        parts, size = [], None
+        for *where, packed in self.members:
+            if size is None or size + packed > self.part:
+                parts, size = [*parts, []], 0
+            parts[-1].append(tuple(where))
+            size += packed
+        return [MemberPart(p) for p in parts]
+
+    def read(self, partition: MemberPart) -> Iterator[pa.RecordBatch]:
+        for source, archive, member in partition.members:
+            yield from _batches(source, archive, [member])
+
+
+class ArchiveCsv(DataSource):
+    """spark.read.format("archive_csv"): the records of CSV members of archives, by ranges.
+
+    Options: members, a JSON list of [source, archive, member, packed bytes]; partBytes.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "archive_csv"
+
+    def schema(self) -> str:
+        return ROWS
+
+    def reader(self, schema) -> MemberReader:
+        return MemberReader(self.options)
+
+
 def member_rows(archives: DataFrame, members: DataFrame) -> DataFrame:
-    """(archive, member, row_no, cells) of the chosen members' CSV rows, the header as row 0.
+    """(archive, member, row_no, cells) of the chosen members' CSV records, the header as row 0.
 
-    Members are streamed out of the archive and parsed in the task; rows whose
-    number of cells differs from the header's are dropped, quoted line ends are kept.
+    Records whose number of cells differs from the header's are dropped, quoted line ends are
+    kept. The driver sees names of members, as it does of files.
     """
-    chosen = members.groupBy("archive").agg(F.collect_set("member").alias("members"))
+    if _handle(archives) == "source":
+        own = archives.select(F.col("path").alias("archive"), "source")
+        rows = members.join(own, "archive").select("source", "archive", "member", F.coalesce("packed", F.lit(PART)) if "packed" in members.columns else F.lit(PART)).distinct()
+        return scan_members(archives.sparkSession, sorted(map(tuple, rows.collect()), key=lambda m: m[1:3]))
+    chosen = members.groupBy("archive").agg(F.sort_array(F.collect_set("member")).alias("members"))
     both = archives.join(chosen, archives["path"] == chosen["archive"]).select("path", "content", "members")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["archive", "member", "row_no", "cells"]
-        for f in frames:
-            for path, content, wanted in zip(f["path"], f["content"], f["members"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in sorted(wanted):
-                        rows, width = [], None
-                        with z.open(member) as raw:
-                            for k, cells in enumerate(csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))):
-                                width = len(cells) if width is None else width
-                                if len(cells) == width:
-                                    rows.append((path, member, k, cells))
-                                if len(rows) >= LINES:
-                                    yield pd.DataFrame(rows, columns=names)
-                                    rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=names)
-
-    return both.mapInPandas(run, "archive string, member string, row_no bigint, cells array<string>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content, wanted in zip(*[b.column(c).to_pylist() for c in ("path", "content", "members")], strict=True):
+                yield from _batches(bytes(content), path, wanted)
+
+    return both.mapInArrow(run, ROWS)
+
+
+def scan_members(spark: SparkSession, members: list[tuple[str, str, str, int]]) -> DataFrame:
+    """The records of (source, archive, member, packed bytes)."""
+    spark.dataSource.register(ArchiveCsv)
+    return spark.read.format("archive_csv").option("members", json.dumps(members)).load()
+
+
+def member_headers(archives: DataFrame, members: DataFrame) -> DataFrame:
+    """(archive, member, header, source, packed) of the chosen members; only their first records are unpacked, source is null for contents."""
+    handle, packed = _handle(archives), F.col("packed") if "packed" in members.columns else F.lit(PART).cast("bigint")
+    chosen = members.groupBy("archive").agg(F.collect_set(F.struct("member", packed.alias("packed"))).alias("members"))
+    both = archives.join(chosen, archives["path"] == chosen["archive"]).select("path", handle, "members")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for path, source, wanted in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                with _open(source) as z:
+                    for m in wanted:
+                        header = next(_records(z, m["member"]), None)
+                        rows.append({"archive": path, "member": m["member"], "header": header, "source": source if isinstance(source, str) else None, "packed": m["packed"]})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("archive", pa.string()), ("member", pa.string()), ("header", pa.list_(pa.string())), ("source", pa.string()), ("packed", pa.int64())]))
+
+    return both.mapInArrow(run, "archive string, member string, header array<string>, source string, packed bigint")
 
 
 def read_zip_csv(archives: DataFrame, members: DataFrame) -> DataFrame:
     """The chosen CSV members united by column name (upper case), every column a string, file_path archive!member.
 
-    Archives are unpacked once, into a written table of rows; it is read for the headers,
-    of which the driver sees the different ones, and for the rows of each of them.
+    Members are read together by equal header, each once behind its first record; the driver
+    sees headers and names of members. Empty members are left out.
     """
-    spark, path = archives.sparkSession, workspace(archives.sparkSession, "members")
-    member_rows(archives, members).withColumn("file_path", F.concat("archive", F.lit("!"), "member")).write.parquet(path)
-    rows = spark.read.schema("archive string, member string, row_no bigint, cells array<string>, file_path string").parquet(path)
-    headers = rows.filter("row_no = 0").select("file_path", F.col("cells").alias("header"))
+    spark = archives.sparkSession
+    heads = member_headers(archives, members).filter("header IS NOT NULL").collect()
     frames = []
-    for h in sorted({tuple(r["header"]) for r in headers.select("header").distinct().collect()}):
-        names = unique_names([n.strip().upper() for n in h])
-        own = headers.filter(F.col("header") == F.array(*[F.lit(x) for x in h])).select("file_path")
-        part = rows.filter("row_no > 0").join(own, "file_path")
-        cells = [F.nullif(F.col("cells")[k], F.lit("")).alias(n) for k, n in enumerate(names)]
-        frames.append(part.select(*cells, "file_path"))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else headers.select("file_path")
+    for h in sorted({tuple(r["header"]) for r in heads}):
+        own = sorted((r["source"], r["archive"], r["member"], r["packed"]) for r in heads if tuple(r["header"]) == h)
+        if _handle(archives) == "source":
+            rows = scan_members(spark, own)
+        else:
+            rows = member_rows(archives, spark.createDataFrame([m[1:3] for m in own], "archive string, member string"))
+        cells = [F.nullif(F.col("cells")[k], F.lit("")).alias(n) for k, n in enumerate(unique_names([n.upper() for n in header_names(list(h))]))]
+        frames.append(rows.filter("row_no > 0").select(*cells, F.concat("archive", F.lit("!"), "member").alias("file_path")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "file_path string")

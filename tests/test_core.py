@@ -80,9 +80,8 @@ def test_notes_behind_other_white_space(spark):
 
     df = spark.createDataFrame([("\u00a0 \t",), (None,), ("x",)], "v string")
     assert [r[0] for r in df.select(is_blank(F.col("v"))).collect()] == [True, True, False]
-    cells = spark.createDataFrame([("f", "s", 2, 0, "a"), ("f", "s", 3, 0, "\u00a0\tNote: x")], "file_path string, sheet string, row_num bigint, col_idx int, value string")
-    columns = spark.createDataFrame([("f", "s", 1)], "file_path string, sheet string, last_row bigint")
-    assert sheets.sheet_bounds(cells, columns).first()["notes_row"] == 3
+    rows = [["h", "x", "y"], ["a", "1", "2"], ["\u00a0\tNote: x"]]
+    assert sheets.sheet_headers(sheets.sheet_grid(cells_of(spark, rows), [Sheet("t", "%")])).first()["notes_row"] == 3
 
 
 def test_discovery_fails_closed(spark, tmp_path):
