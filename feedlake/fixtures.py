@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.plans.defs import Layout
+from feedlake.sources.store import write_file
 
 
 def fixed_width_line(layout: Layout, values: dict[str, Column]) -> Column:
@@ -41,6 +42,18 @@ def archives(rows: DataFrame, group: str, name: Callable[[int], str], members: C
     return rows.groupBy(group).applyInPandas(build, "path string, content binary")
 
 
+def write_files(files: DataFrame, root: str) -> None:
+    """Files of (path, content) below root, written by tasks; a repeated task writes the same again."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for path, content in zip(f["path"], f["content"], strict=True):
+                write_file(f"{root.rstrip('/')}/{path.lstrip('/')}", content)
+            yield f[["path"]]
+
+    files.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(run, "path string").write.format("noop").mode("overwrite").save()
+
+
 def _letters(col: int) -> str:
     out = ""
     col += 1

@@ -85,8 +85,22 @@ def append_metrics(records: DataFrame, contract: DataFrame, path: str) -> int:
     return append_evidence(records, path)
 
 
-def run_summary(records: DataFrame) -> DataFrame:
-    """(run_id, kind, key, state): the last word on every stage, prerequisite, metric and artifact of a run."""
+def run_summary(records: DataFrame, contract: DataFrame | None = None) -> DataFrame:
+    """(run_id, kind, key, state): the last word on every stage, prerequisite, metric and artifact of a run.
+
+    With a contract of (stage_id, metric_id), a metric that it doesn't declare is an error, and each
+    declared metric that a run lacks is a row of kind missing_metric, also of stages it never touched.
+    """
+    if contract is not None:
+        metrics = records.filter("record_type = 'metric_observed'").select("run_id", "stage_id", "metric_id")
+        odd = metrics.join(contract.select("stage_id", "metric_id"), ["stage_id", "metric_id"], "left_anti").limit(1).collect()
+        if odd:
+            raise ValueError(f"metric {odd[0]['metric_id']} of {odd[0]['stage_id']} is undeclared")
+        declared = F.array(*[F.lit(f"{r['stage_id']}/{r['metric_id']}") for r in contract.select("stage_id", "metric_id").distinct().collect()]).cast("array<string>")
+        name = F.concat_ws("/", "stage_id", "metric_id")
+        seen = records.groupBy("run_id").agg(F.collect_set(F.when(F.col("record_type") == "metric_observed", name)).alias("seen"))
+        lacking = seen.select("run_id", F.lit("missing_metric").alias("kind"), F.explode(F.array_except(declared, "seen")).alias("key"), F.lit("missing").alias("state"))
+        return run_summary(records).unionByName(lacking)
     t = F.col("record_type")
     kind = F.when(t.isin("stage_attempted", "stage_reused", "stage_blocked"), "stage").when(t == "prerequisite_checked", "prerequisite").when(t == "metric_observed", "metric").when(t == "artifact_observed", "artifact")
     key = F.coalesce(F.when(t == "metric_observed", F.concat_ws("/", "stage_id", "metric_id")), F.when(t == "prerequisite_checked", F.col("prerequisite_id")), F.when(t == "artifact_observed", F.col("artifact_id")), F.col("stage_id"))

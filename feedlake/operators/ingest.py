@@ -8,14 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.plans.defs import Feed
+from feedlake.sources import workbook
 from feedlake.sources.listing import discover
 from feedlake.sources.store import openable
+from feedlake.workspace import workspace
 
 from . import ledger as L
 from .lineage import split_stamped, with_lineage
-from .readers import chosen_members, read_feed
+from .readers import as_cell_grain, chosen_members, read_feed
+from .sheets import SheetError, sheet_problems, tidy_family
 
 Reader = Callable[[SparkSession, list[str]], DataFrame]
+#: What `tidy_family` gives, as it is dealt to tables.
+TIDY = "file_path string, sheet string, row_num bigint, group_label string, section_code string, section_label string, row_label string, column_group_label string, column_label string, value_text string, table string"
 ARCHIVES = ("zip_csv", "quality")
 FILES = "file_path string, archive string, member string, path string, source string, reader_path string, size bigint, modified timestamp, packed bigint"
 
@@ -60,28 +65,71 @@ def load_batch(spark: SparkSession, feed: Feed, files: list, target: str, reader
     L.publish(spark, rows, part, target, batch or L.batch_name([r["file_path"] for r in files]), widen=feed.kind in ("csv", *ARCHIVES))
 
 
+def load_files(spark: SparkSession, feed: Feed, new: DataFrame, opened: DataFrame, target: str, reader: Reader | None = None, org: str = "") -> int:
+    """Load what `feed_files` has found, `feed.batch` files or members at a time; names come to the driver, no more."""
+    files, archives = new.orderBy("file_path").collect(), opened.orderBy("path").collect()
+    size = feed.batch or max(len(files), 1)
+    for k in range(0, len(files), size):
+        load_batch(spark, feed, files[k : k + size], target, reader, org)
+    if archives:
+        names = [f"{r['path']} {r['size']} {r['modified']}" for r in archives]
+        L.publish(spark, None, spark.createDataFrame(archives, FILES), target, L.batch_name(names))
+    return len(files)
+
+
 def ingest(spark: SparkSession, feed: Feed, root: str, target: str, refresh: bool = False, reader: Reader | None = None, org: str = "") -> int:
     """Read the feed's files that `target` lacks (all with `refresh`), add lineage, append; the number of files read.
 
     Files, or members of archives, are known by the ledger of `target`; the missing ones are
-    collected (names only) and read at once, or `feed.batch` at a time: a batch that was
-    written stays, and the next run goes on behind it. A full refresh loads beside the table
-    and takes its place at last, so a refresh that fails changes nothing, nor does one that
-    finds no files. `reader` replaces the kind's own.
+    read at once, or `feed.batch` at a time: a batch that was written stays, and the next run
+    goes on behind it. A full refresh loads beside the table and takes its place at last, so a
+    refresh that fails changes nothing, nor does one that finds no files. `reader` replaces the
+    kind's own.
     """
     L.recover(spark, target)
-    listing = discover(spark, root, feed.glob)
     into = f"{target}__new" if refresh else target
-    new, opened = feed_files(spark, feed, listing, L.read_ledger(spark, into))
-    files, archives = new.orderBy("file_path").collect(), opened.orderBy("path").collect()
-    if refresh and not files:
-        return 0
-    size = feed.batch or max(len(files), 1)
-    for k in range(0, len(files), size):
-        load_batch(spark, feed, files[k : k + size], into, reader, org)
-    if archives:
-        names = [f"{r['path']} {r['size']} {r['modified']}" for r in archives]
-        L.publish(spark, None, spark.createDataFrame(archives, FILES), into, L.batch_name(names))
-    if refresh:
+    new, opened = feed_files(spark, feed, discover(spark, root, feed.glob), L.read_ledger(spark, into))
+    n = load_files(spark, feed, new, opened, into, reader, org)
+    if refresh and n:
         L.replace(spark, target)
-    return len(files)
+    return n
+
+
+def ingest_sheets(spark: SparkSession, feeds: list[Feed], root: str, targets: dict[str, str], org: str = "") -> dict[str, int]:
+    """Load the tables of a family of workbooks (feeds of one glob), each workbook decoded once for all of them; files read by table.
+
+    Cells of a batch of workbooks are written once, tidied in one plan and dealt to the tables, which
+    are loaded as by `ingest`. A table whose sheet can't be read is left as it is, the others are
+    loaded, and an error tells of all such tables at last.
+    """
+    if len({f.glob for f in feeds}) != 1 or any(f.kind != "sheet" for f in feeds):
+        raise ValueError("feeds must be sheets of the same workbooks")
+    listing, wanted = discover(spark, root, feeds[0].glob), {}
+    for f in feeds:
+        L.recover(spark, targets[f.name])
+        new, _ = feed_files(spark, f, listing, L.read_ledger(spark, targets[f.name]))
+        wanted[f.name] = {r["file_path"]: r for r in new.collect()}
+    every = sorted({p: r for rows in wanted.values() for p, r in rows.items()}.items())
+    size, counts, wrong = feeds[0].batch or max(len(every), 1), dict.fromkeys(targets, 0), {}
+    for k in range(0, len(every), size):
+        part = dict(every[k : k + size])
+        folder = workspace(spark, "cells")
+        books = spark.createDataFrame(list(part.values()), FILES)
+        workbook.read_cells(books.select("path", "source")).write.parquet(f"{folder}/cells")
+        cells = spark.read.parquet(f"{folder}/cells")
+        sheets = [f.sheet for f in feeds]
+        bad = {r["table"]: r["problem"] for r in sheet_problems(cells, sheets).groupBy("table").agg(F.min("problem").alias("problem")).collect()}
+        wrong = bad | wrong
+        tidy_family(cells, sheets).write.partitionBy("table").parquet(f"{folder}/tidy")
+        tidy = spark.read.schema(TIDY).parquet(f"{folder}/tidy")
+        for f in feeds:
+            own = [r for p, r in part.items() if p in wanted[f.name]]
+            if own and f.sheet.table not in wrong:
+                files = spark.createDataFrame(own, FILES)
+                rows = tidy.filter(F.col("table") == f.sheet.table).drop("table").join(files.select("file_path"), "file_path", "left_semi")
+                L.publish(spark, as_cell_grain(rows, f, org), files, targets[f.name], L.batch_name(list(part)))
+                counts[f.name] += len(own)
+        L.delete(spark, folder)
+    if wrong:
+        raise SheetError("; ".join(f"{t}: {p}" for t, p in sorted(wrong.items())))
+    return counts

@@ -48,13 +48,21 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
 
 
 def read_ledger(spark: SparkSession, target: str) -> DataFrame:
-    """The ledger of a table; of one that was loaded without, its distinct file paths."""
+    """The ledger of a table; an empty one where there is none."""
     if path_exists(spark, f"{target}/_ledger"):
         return spark.read.schema(LEDGER).parquet(f"{target}/_ledger")
-    none = spark.createDataFrame([], LEDGER)
-    if not path_exists(spark, target):
-        return none
-    return none.unionByName(spark.read.parquet(target).select("file_path").distinct(), allowMissingColumns=True)
+    return spark.createDataFrame([], LEDGER)
+
+
+def adopt(spark: SparkSession, target: str) -> None:
+    """Give a table that was loaded without a ledger one, from its distinct file paths."""
+    if not path_exists(spark, target) or path_exists(spark, f"{target}/_ledger"):
+        return
+    rows = spark.read.option("mergeSchema", True).parquet(target)
+    known = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows")).withColumns({"batch": F.lit("adopted"), "columns": F.lit(rows.schema.json())})
+    align_by_name(known, StructType.fromDDL(LEDGER)).coalesce(1).write.mode("overwrite").parquet(f"{target}/_staging/adopted/ledger")
+    _mark(spark, f"{target}/_staging/adopted")
+    _finish(spark, target, "adopted")
 
 
 def table_schema(spark: SparkSession, target: str) -> StructType | None:
@@ -102,6 +110,7 @@ def recover(spark: SparkSession, target: str) -> None:
             _finish(spark, target, batch)
         else:
             delete(spark, f"{target}/_staging/{batch}")
+    adopt(spark, target)
 
 
 def _mark(spark: SparkSession, folder: str) -> None:

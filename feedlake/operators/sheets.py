@@ -105,6 +105,12 @@ def _problem(sheets: list[Sheet]) -> Column:
     return F.when(F.col("n_sheets") > 1, many).when(F.col("columns").isNull(), bare)
 
 
+def sheet_problems(cells: DataFrame, sheets: list[Sheet]) -> DataFrame:
+    """(table, problem) of the sheets that can't be read."""
+    found = sheet_headers(sheet_grid(cells, sheets)).select(_per_sheet(sheets, lambda s: s.table, "string").alias("table"), _problem(sheets).alias("problem"))
+    return found.filter("problem IS NOT NULL")
+
+
 def body_rows(grid: DataFrame, sheets: list[Sheet], strict: bool = False) -> DataFrame:
     """The labelled rows within the bounds, footnote definitions left out; with `strict`, a sheet with a problem ends the job."""
     inside = (F.col("row_num") > F.col("last_row")) & (F.col("notes_row").isNull() | (F.col("row_num") < F.col("notes_row")))
@@ -158,7 +164,7 @@ def tidy_sheets(cells: DataFrame, sheet: Sheet, check: bool = False) -> DataFram
     job over the cells); without, such a sheet adds no rows.
     """
     if check:
-        bad = sheet_headers(sheet_grid(cells, [sheet])).select(_problem([sheet]).alias("problem")).filter("problem IS NOT NULL").limit(1).collect()
+        bad = sheet_problems(cells, [sheet]).limit(1).collect()
         if bad:
             raise SheetError(bad[0]["problem"])
     return tidy_family(cells, [sheet]).drop("table")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from feedlake.operators.naming import align_by_name
+from feedlake.operators.naming import align_by_name, rename_columns
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -47,6 +49,65 @@ def external_writer(df: DataFrame, fmt: str, options: dict[str, str], mode: str
     return df.write.format(fmt).options(**options).mode(mode)
 
 
+def stage(df: DataFrame, folder: str, batch: str) -> str:
+    """The batch's rows as Parquet below a staging folder, written once: what a run before has finished is taken as it is."""
+    path = f"{folder.rstrip('/')}/{batch}"
+    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_database(spark: SparkSession, staged: str, url: str, table: str, batch: str, mode: str = "append", properties: dict[str, str] | None = None) -> bool:
+    """Load staged Parquet into a database table as one transaction; False where the table has the batch already.
+
+    Tasks write the rows to a table of the batch's own, which a repeated run starts anew. Then
+    one transaction moves them (by name, case-insensitive; with `truncate` behind a DELETE
+    of all rows) and notes the batch in FEEDLAKE_LOADS. The
+    target is made on first use; columns that it lacks are an error.
+    """
+    if mode not in ("append", "truncate"):
+        raise ValueError("mode must be 'append' or 'truncate'")
+    if not re.match(r"[A-Za-z][A-Za-z0-9_]*\Z", table) or not re.match(r"[A-Za-z0-9_]+\Z", batch):
+        raise ValueError("tables and batches are named by letters, digits and _")
+    rows, options = rename_columns(spark.read.parquet(staged), "upper"), {"url": url, **(properties or {})}
+    loads, own = "FEEDLAKE_LOADS", f"{table}_{batch}".upper()
+    known = spark.createDataFrame([], "TABLE_NAME string, BATCH string")
+    keys = {"createTableColumnTypes": "TABLE_NAME VARCHAR(128), BATCH VARCHAR(128)"}
+    columns = ", ".join(f'"{c}"' for c in rows.columns)
+    settings = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        settings.setProperty(k, v)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        tables = connection.getMetaData()
+        there = lambda name: tables.getTables(None, None, name, None).next()
+        if not there(loads):
+            known.write.format("jdbc").options(**options, **keys, dbtable=loads).mode("append").save()
+        connection.setAutoCommit(False)
+        run = connection.createStatement()
+        seen = run.executeQuery(f"SELECT COUNT(*) FROM {loads} WHERE TABLE_NAME = '{table.upper()}' AND BATCH = '{batch}'")
+        seen.next()
+        done, first = seen.getInt(1) > 0, not there(table.upper())
+        connection.commit()
+        if not done:
+            if first:
+                rows.limit(0).write.format("jdbc").options(**options, dbtable=table.upper()).mode("append").save()
+            rows.write.format("jdbc").options(**options, dbtable=own).mode("overwrite").save()
+            if mode == "truncate":
+                run.executeUpdate(f"DELETE FROM {table.upper()}")
+            run.executeUpdate(f"INSERT INTO {table.upper()} ({columns}) SELECT {columns} FROM {own}")
+            run.executeUpdate(f"INSERT INTO {loads} VALUES ('{table.upper()}', '{batch}')")
+            connection.commit()
+        if there(own):
+            run.executeUpdate(f"DROP TABLE {own}")
+            connection.commit()
+        return not done
+    finally:
+        if not connection.getAutoCommit():
+            connection.rollback()
+        connection.close()
+
+
 def remote_conf(scheme: str, **secrets: str) -> dict[str, str]:
     """Hadoop settings of a remote store by its scheme, to be passed when a session is made."""
     if scheme == "s3":

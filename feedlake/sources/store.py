@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 from typing import BinaryIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,16 +40,35 @@ def openable(spark: SparkSession, source: Column) -> Column:
     return out
 
 
+def _remote(scheme: str, rest: str) -> tuple:
+    from pyarrow import fs
+
+    host, _, path = rest.removeprefix("//").partition("/")
+    store, base = fs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme) }://{host}/")
+    return store, f"{base.rstrip('/')}/{path}"
+
+
 def open_file(locator: str) -> BinaryIO:
     """A seekable file; remote stores are opened by Arrow, which reads the ranges that are asked for."""
     scheme, colon, rest = locator.partition(":")
     if not colon or scheme == "file" or "/" in scheme:
         return open("/" + rest.lstrip("/") if scheme == "file" else locator, "rb")
-    from pyarrow import fs
+    store, path = _remote(scheme, rest)
+    return io.BufferedReader(store.open_input_file(path), 1 << 20)
 
-    host, _, path = rest.removeprefix("//").partition("/")
-    store, base = fs.FileSystem.from_uri(f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme) }://{host}/")
-    return io.BufferedReader(store.open_input_file(f"{base.rstrip('/')}/{path}"), 1 << 20)
+
+def write_file(locator: str, content: bytes) -> None:
+    """A file with this content, in place of any there."""
+    scheme, colon, rest = locator.partition(":")
+    if not colon or scheme == "file" or "/" in scheme:
+        path = "/" + rest.lstrip("/") if scheme == "file" else locator
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(content)
+        return
+    store, path = _remote(scheme, rest)
+    with store.open_output_stream(path) as f:
+        f.write(content)
 
 
 def list_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:

@@ -177,10 +177,10 @@ def member_rows(archives: DataFrame, members: DataFrame) -> DataFrame:
     return both.mapInArrow(run, ROWS)
 
 
-def scan_members(spark: SparkSession, members: list[tuple[str, str, str, int]]) -> DataFrame:
+def scan_members(spark: SparkSession, members: list[tuple[str, str, str, int]], part_bytes: int = PART) -> DataFrame:
     """The records of (source, archive, member, packed bytes)."""
     spark.dataSource.register(ArchiveCsv)
-    return spark.read.format("archive_csv").option("members", json.dumps(members)).load()
+    return spark.read.format("archive_csv").option("members", json.dumps(members)).option("partBytes", part_bytes).load()
 
 
 def member_headers(archives: DataFrame, members: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Incremental ingest as a stream: the checkpoint remembers which files were read."""
+"""Incremental ingest as a stream of files of any kind of feed."""
 
 from __future__ import annotations
 
@@ -6,25 +6,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.paths import plain_path
-from feedlake.operators.lineage import with_lineage
+from feedlake.operators import ledger as L
+from feedlake.operators.ingest import feed_files, load_files
+from feedlake.operators.lineage import split_stamped
 from feedlake.plans.defs import Feed
-from feedlake.sources.fixed_width import slice_columns
 
 
-def stream_lines(spark: SparkSession, root: str, glob: str, max_files_per_trigger: int = 25) -> DataFrame:
-    """A stream of (value, file_path) from the text files below root; a batch takes so many files at most."""
-    lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(root)
-    return lines.select("value", plain_path(F.col("_metadata.file_path")).alias("file_path"))
+def stream_files(spark: SparkSession, root: str, glob: str, max_files_per_trigger: int = 25) -> DataFrame:
+    """A stream of the listing (see `discover`) of new files below root, contents unread; a glob without folders fits at any depth."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("maxFilesPerTrigger", max_files_per_trigger)
+    if "/" in glob:
+        files = files.load(f"{root.rstrip('/')}/{glob}")
+    else:
+        files = files.option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
+    return files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("path").alias("source_path"), "length", F.col("modificationTime").alias("modified"))
 
 
-def stream_ingest(spark: SparkSession, feed: Feed, root: str, target: str, checkpoint: str, max_files_per_trigger: int = 25) -> int:
-    """Append the rows of files that no earlier run with this checkpoint has read; each file once. Rows appended.
+def loaded_rows(spark: SparkSession, target: str) -> int:
+    return L.read_ledger(spark, target).agg(F.sum("n_rows")).first()[0] or 0
 
-    Runs until what is there is read, then ends. Source and sink are tracked by the
-    checkpoint, so that a run which dies is continued without doubled or lost files.
+
+def load_listing(spark: SparkSession, feed: Feed, listing: DataFrame, target: str, org: str = "") -> int:
+    """Load what a listing has and the table lacks; workbooks without stamps become rows of `target`__unstamped. Files read."""
+    L.recover(spark, target)
+    if feed.kind == "sheet":
+        _, odd = split_stamped(listing)
+        side = f"{target}__unstamped"
+        L.recover(spark, side)
+        odd = odd.select("file_path", F.col("length").alias("size"), "modified").join(L.read_ledger(spark, side).select("file_path"), "file_path", "left_anti")
+        names = [r[0] for r in odd.select("file_path").collect()]
+        if names:
+            files = odd.withColumns({"archive": F.lit(None).cast("string"), "member": F.lit(None).cast("string")})
+            L.publish(spark, odd, files, side, L.batch_name(names))
+    new, opened = feed_files(spark, feed, listing, L.read_ledger(spark, target))
+    return load_files(spark, feed, new, opened, target, org=org)
+
+
+def stream_ingest(spark: SparkSession, feed: Feed, root: str, target: str, checkpoint: str, max_files_per_trigger: int = 25, org: str = "") -> int:
+    """Append the rows of files that neither an earlier run with this checkpoint nor the table's ledger has. Rows appended.
+
+    Runs until what is there is read, then ends. The checkpoint says which files a batch has,
+    the ledger which of them are loaded: a batch whose run died is repeated, and its files
+    are in the table once. Archives and workbooks come whole or not at all; a table can be
+    loaded by streams and by `ingest` in turn.
     """
-    lines = stream_lines(spark, root, feed.glob, max_files_per_trigger)
-    rows = with_lineage(lines.select(*slice_columns(feed.layout), "file_path"))
-    query = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", target).trigger(availableNow=True).start()
+    before = loaded_rows(spark, target)
+
+    def load(listing: DataFrame, _: int) -> None:
+        load_listing(listing.sparkSession, feed, listing, target, org)
+
+    query = stream_files(spark, root, feed.glob, max_files_per_trigger).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+    return loaded_rows(spark, target) - before
