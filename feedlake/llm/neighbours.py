@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, connected_components
 
-#: Neighbours in a list, random splits that start the graph, hyperplanes of a split, most rows compared in one start group.
-LIST, SPLITS, PLANES, GROUP = 12, 6, 8, 512
-#: Rounds at most, share of changed lists at which descent ends, linked vectors that make an audit (of all, of a size class), and the recall it must show.
-ROUNDS, STILL, AUDIT, CLASS_AUDIT, RECALL = 8, 0.01, 50, 20, 0.98
-#: Rows compared at once, rows of a block of the exact search, and most components whose centres are sent to the tasks.
+#: Neighbours in a list at first and at most, mean rows of a start group, most rows compared in one, and the share of pairs at the threshold that the groups are to bring together.
+LIST, LIMIT, CELL, GROUP, TOGETHER = 12, 48, 128, 512, 0.98
+#: Rounds at most, and of a larger list; share of changed lists at which descent ends.
+ROUNDS, MORE, STILL = 8, 2, 0.01
+#: Linked vectors that make an audit (of all, of a size class), the recall that ends the starts, the one below which there is no result, and starts at most.
+AUDIT, CLASS_AUDIT, RECALL, LEAST_RECALL, STARTS = 50, 20, 0.98, 0.9, 4
+#: Rows compared at once, rows of a block of the exact search, and about how many components' centres are sent to the tasks at once.
 BLOCK, WIDE, CENTRES = 1024, 4096, 4096
-#: Starts of the graph before all classes are compared with all.
-ATTEMPTS = 3
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -52,13 +52,20 @@ def unit_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return table.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, "id bigint, v binary")
 
 
-def _start(vectors: DataFrame, count: int, seed: int) -> DataFrame:
-    """(id, other, sim): the best LIST of each vector among those on its side of random hyperplanes.
+def _splits(count: int, least: float) -> tuple[int, int]:
+    """(planes, splits): hyperplanes that leave about CELL rows a side, and how often to split for TOGETHER of the pairs at the threshold to share one."""
+    planes = max(0, int(np.ceil(np.log2(max(count, 1) / CELL))))
+    share = (1 - np.arccos(np.clip(least, -1, 1)) / np.pi) ** planes
+    return planes, 1 if share >= 1 else min(64, max(2, int(np.ceil(np.log(1 - TOGETHER) / np.log(1 - share)))))
+
+
+def _start(vectors: DataFrame, count: int, seed: int, least: float) -> DataFrame:
+    """(id, other, sim): the best LIST of each vector among those on its side of random hyperplanes, and up to LIMIT links.
 
     Groups larger than GROUP are cut by a hash of the id, another one in each split: they
     only start the graph.
     """
-    planes = PLANES + max(0, int(np.ceil(np.log2(max(count, 1) / (GROUP << PLANES)))) if count > GROUP << PLANES else 0)
+    planes, splits = _splits(count, least)
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for mixed in batches:
@@ -66,9 +73,9 @@ def _start(vectors: DataFrame, count: int, seed: int) -> DataFrame:
             for n in pc.unique(size).to_pylist():
                 b = mixed.filter(pc.equal(size, n))
                 x = _matrix(b.column("v"))
-                for s in range(SPLITS):
+                for s in range(splits):
                     normal = np.random.default_rng([seed, s, x.shape[1]]).normal(size=(x.shape[1], planes))
-                    key = ((x @ normal > 0) @ (1 << np.arange(planes))) * SPLITS + s + x.shape[1] * (SPLITS << planes)
+                    key = ((x @ normal > 0) @ (1 << np.arange(planes))) * splits + s + x.shape[1] * (splits << planes)
                     yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), b.column("id"), b.column("v")], ["key", "id", "v"])
 
     keyed = vectors.mapInArrow(sides, "key bigint, id bigint, v binary")
@@ -83,34 +90,44 @@ def _start(vectors: DataFrame, count: int, seed: int) -> DataFrame:
         for a in range(0, len(ids), BLOCK):
             sim = x[a : a + BLOCK] @ x.T
             sim[np.arange(len(sim)), np.arange(a, a + len(sim))] = -2
-            k = min(LIST, len(ids) - 1)
+            k = min(LIMIT, len(ids) - 1)
             top = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-            out.append((np.repeat(ids[a : a + BLOCK], k), ids[top].ravel(), np.take_along_axis(sim, top, 1).ravel()))
+            best = np.take_along_axis(sim, top, 1)
+            last = np.partition(best, -min(LIST, k), axis=1)[:, -min(LIST, k)]
+            i, j = np.nonzero((best >= last[:, None]) | (best >= least))
+            out.append((ids[a : a + BLOCK][i], ids[top[i, j]], best[i, j]))
         cols = [np.concatenate(c) for c in zip(*out, strict=True)]
         return pa.table(dict(zip(("id", "other", "sim"), cols, strict=True)))
 
     return parts.select("key", "part", "id", "v").groupBy("key", "part").applyInArrow(best, "id bigint, other bigint, sim double")
 
 
-def _lists(edges: DataFrame, keep: int = LIST) -> DataFrame:
-    """The best `keep` of each vector's edges (id, other, sim, fresh); of equal edges the older counts."""
+def _lists(edges: DataFrame, least: float) -> DataFrame:
+    """(id, other, sim, fresh, k): the best LIST of each vector's edges, and up to LIMIT that are links, by rank; of equal edges the older counts."""
     one = edges.groupBy("id", "other").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     w = Window.partitionBy("id").orderBy(F.col("sim").desc(), "other")
-    return one.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= keep).drop("k")
+    return one.withColumn("k", F.row_number().over(w)).filter((F.col("k") <= LIST) | ((F.col("k") <= LIMIT) & (F.col("sim") >= least)))
 
 
-def _round(lists: DataFrame, vectors: DataFrame) -> DataFrame:
+def _round(lists: DataFrame, vectors: DataFrame, keep: int = LIST, short: DataFrame | None = None, least: float = -2.0) -> DataFrame:
     """(id, other, sim, fresh): better pairs among the neighbours, forward and back, of each vector.
 
-    Each vector gets the vectors of its LIST neighbours and of at most LIST that name
-    it; pairs with one fresh edge at least are compared, and those better than the
-    worst of one of the two lists are told to it.
+    Each vector gets the vectors of its `keep` neighbours and of at most as many that name
+    it; pairs with one fresh edge at least are compared, and the best `keep` of those better than the
+    worst of a list are told to it. With `short` (id), these lists alone grow, by links of `least` or more.
     """
-    worst = lists.groupBy("id").agg(F.when(F.count(F.lit(1)) >= LIST, F.min("sim")).otherwise(-2.0).alias("worst"))
+    if short is None:
+        worst = lists.groupBy("id").agg(F.coalesce(F.max(F.when(F.col("k") == keep, F.col("sim"))), F.lit(-2.0)).alias("worst"))
+    else:
+        grows = short.select("id", F.lit(True).alias("grows"))
+        worst = lists.select("id").distinct().join(grows, "id", "left").select("id", F.when(F.col("grows"), F.lit(np.nextafter(least, -2).item())).otherwise(2.0).alias("worst"))
+    lists = lists.filter(F.col("k") <= keep)
     back = lists.select(F.col("other").alias("id"), F.col("id").alias("other"), "fresh")
     w = Window.partitionBy("id").orderBy(F.col("fresh").desc(), F.xxhash64("id", "other"))
-    back = back.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= LIST).drop("k")
+    back = back.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= keep).drop("k")
     around = lists.select("id", "other", "fresh").unionByName(back).groupBy("id", "other").agg(F.max("fresh").alias("fresh"))
+    if short is not None:
+        around = around.join(around.join(short.select(F.col("id").alias("other")), "other", "left_semi").select("id").distinct(), "id", "left_semi")
     member = vectors.join(worst, "id").select(F.col("id").alias("other"), "v", "worst")
     sets = around.join(member, "other").groupBy("id").agg(F.collect_list(F.struct("other", "v", "worst", "fresh")).alias("m"))
 
@@ -127,7 +144,11 @@ def _round(lists: DataFrame, vectors: DataFrame) -> DataFrame:
             for a, z in zip(cuts[:-1], cuts[1:], strict=True):
                 x = np.frombuffer(b"".join(vectors[a:z]), np.float64).reshape(z - a, -1)
                 sim = x @ x.T
-                i, j = np.nonzero((sim > worst[a:z, None]) & (fresh[a:z, None] | fresh[None, a:z]) & (other[a:z, None] != other[None, a:z]))
+                better = (sim > worst[a:z, None]) & (fresh[a:z, None] | fresh[None, a:z]) & (other[a:z, None] != other[None, a:z])
+                if z - a > keep:
+                    last = np.argpartition(-np.where(better, sim, -3), keep - 1, axis=1)[:, keep:]
+                    np.put_along_axis(better, last, False, 1)
+                i, j = np.nonzero(better)
                 out.append((other[a:z][i], other[a:z][j], sim[i, j]))
             cols = [np.concatenate(c) for c in zip(*out, strict=True)]
             pair, at = np.unique(np.stack(cols[:2], 1), axis=0, return_index=True)
@@ -136,16 +157,38 @@ def _round(lists: DataFrame, vectors: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "id bigint, other bigint, sim double, fresh boolean")
 
 
-def neighbour_graph(vectors: DataFrame, scratch: Scratch, count: int, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
-    """(id, other, sim, fresh): lists of up to LIST near neighbours, refined until hardly any changes."""
-    lists = scratch.table(_lists(_start(vectors, count, seed).withColumn("fresh", F.lit(True))), "start")
-    for _ in range(rounds):
-        new = _round(lists, vectors)
-        merged = scratch.table(_lists(lists.withColumn("fresh", F.lit(False)).unionByName(new)), "lists")
+def neighbour_graph(vectors: DataFrame, scratch: Scratch, count: int, least: float, seed: int = 0, rounds: int = ROUNDS) -> DataFrame:
+    """(id, other, sim, fresh): lists of near neighbours, refined until hardly any changes, then enlarged where they are saturated.
+
+    A list whose LIST entries are all links is saturated, as there may be more: it gets twice the room and MORE
+    rounds among the neighbours of its neighbours, again until it has LIMIT entries or gains none.
+    """
+
+    def grown(lists: DataFrame, new: DataFrame) -> DataFrame:
+        edges = lists.drop("k").withColumn("fresh", F.lit(False))
+        merged = scratch.table(_lists(edges.unionByName(new), least), "lists")
         scratch.drop(lists)
-        lists = merged
+        return merged
+
+    lists = scratch.table(_lists(_start(vectors, count, seed, least).withColumn("fresh", F.lit(True)), least), "start")
+    for _ in range(rounds):
+        lists = grown(lists, _round(lists, vectors))
         if lists.filter("fresh").count() <= STILL * LIST * count:
             break
+    keep = LIST
+    while keep < LIMIT:
+        keep *= 2
+        full = lists.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst")).filter((F.col("n") >= LIST) & (F.col("n") < LIMIT) & (F.col("worst") >= least))
+        short = scratch.table(full.select("id"), "short")
+        if short.limit(1).count() == 0:
+            break
+        lists = scratch.table(lists.withColumn("fresh", F.lit(True)), "lists")
+        for _ in range(MORE):
+            lists = grown(lists, _round(lists, vectors, keep, short, least))
+        gained = lists.filter("fresh").limit(1).count()
+        scratch.drop(short)
+        if not gained:
+            break
     return lists
 
 
@@ -189,11 +232,9 @@ def _touched(rows: DataFrame, centres: dict[int, tuple[np.ndarray, np.ndarray, n
     return rows.select("id", "v").mapInArrow(run, "id bigint, near bigint")
 
 
-def _radii(rows: DataFrame, scratch: Scratch, components: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
-    """Components, centres (the vector of the smallest id) and radii by length of the vectors; None where there are more than CENTRES."""
-    found = rows.join(components.select(F.col("component").alias("id")), "id", "left_semi").select("id", "v").limit(CENTRES + 1).collect()
-    if len(found) > CENTRES:
-        return None
+def _radii(rows: DataFrame, components: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Components (about CENTRES of them), centres (the vector of the smallest id) and radii by length of the vectors."""
+    found = rows.join(components.select(F.col("component").alias("id")), "id", "left_semi").select("id", "v").collect()
     at = {r["id"]: np.frombuffer(r["v"], np.float64) for r in found}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +243,8 @@ def _radii(rows: DataFrame, scratch: Scratch, components: DataFrame) -> dict[int
             cos = np.array([np.frombuffer(v, np.float64) @ at[k] for k, v in zip(c, b.column("v").to_pylist(), strict=True)], float)
             yield pa.RecordBatch.from_arrays([b.column("component"), pa.array(np.arccos(np.clip(cos, -1, 1)))], ["component", "angle"])
 
-    radius = {r["component"]: r["r"] for r in rows.filter("wanted").select("component", "v").mapInArrow(run, "component bigint, angle double").groupBy("component").agg(F.max("angle").alias("r")).collect()}
+    own = rows.filter("wanted").join(components, "component", "left_semi")
+    radius = {r["component"]: r["r"] for r in own.select("component", "v").mapInArrow(run, "component bigint, angle double").groupBy("component").agg(F.max("angle").alias("r")).collect()}
     out = {}
     for n in {len(v) for v in at.values()}:
         names = [k for k, v in at.items() if len(v) == n]
@@ -227,12 +269,15 @@ def _search(rows: DataFrame, scratch: Scratch, least: float) -> DataFrame:
     block = F.when(F.col("c") >= WIDE, F.xxhash64("size", "component", part)).otherwise(F.xxhash64("size", small))
     members = scratch.table(wanted.join(sizes, ["component", "size"]).select("id", "component", "size", block.alias("block")), "members")
     blocks = members.select("component", "size", "block").distinct()
-    centres = _radii(rows, scratch, members.select("component").distinct())
-    if centres is None:
-        pairs = rows.select("id", F.length("v").alias("size")).join(blocks.select("size", "block").distinct(), "size").select("id", "block")
-    else:
-        pairs = _touched(rows, centres, least).join(blocks.select(F.col("component").alias("near"), "block"), "near").select("id", "block").distinct()
-    pairs = scratch.table(pairs, "touched")
+    components = members.select("component").distinct()
+    turns = max(1, -(-components.count() // max(CENTRES, 1)))
+    touched = []
+    for k in range(turns):
+        some = components.filter(F.pmod(F.xxhash64("component", F.lit(14)), F.lit(turns)) == k)
+        near = _touched(rows, _radii(rows, some), least)
+        touched.append(scratch.table(near.join(blocks.select(F.col("component").alias("near"), "block"), "near").select("id", "block").distinct(), "touched"))
+    pairs = scratch.table(reduce(DataFrame.unionByName, touched).distinct(), "pairs")
+    scratch.drop(*touched)
     parts = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / WIDE).alias("parts"))
     right = pairs.join(parts, "block").select("block", F.pmod(F.xxhash64("id", F.lit(13)), F.col("parts")).alias("part"), "id", F.lit(False).alias("left"))
     left = members.join(parts, "block").select("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), "id", F.lit(True).alias("left"))
@@ -290,17 +335,19 @@ def _linked(lists: DataFrame, least: float, scratch: Scratch) -> DataFrame:
 
 
 def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.95) -> DataFrame:
-    """One row per input row: (id_col, n_links, component_id, kept).
+    """One row per input row: (id_col, n_links, component_id, kept, recall).
 
     Vectors with cosine >= `least` (double precision) link. Equal vectors are one class
     with a size, so copies fill no lists. The neighbour graph of the classes starts
-    with random hyperplane groups and is refined by comparing neighbours of
-    neighbours. Links are its edges at the threshold, both ways. A vector with LIST links
-    or more is saturated, as its list may be too short: it is compared with all
-    classes that can lie near its component, in that component or not. Recall is
-    measured for each vector on the links of another start; below RECALL, or with fewer than AUDIT
-    vectors that have links, the graph is started anew and the edges of all are used.
-    If the third start doesn't show it either, all classes are compared with all.
+    with random hyperplane groups, is refined by comparing neighbours of neighbours, and its
+    saturated lists are enlarged. Links are its edges at the threshold, both ways. Recall is measured
+    for each vector on the links of another start, which then count too; below RECALL, or with fewer
+    than AUDIT linked vectors seen, the graph is started anew, at most STARTS times, and the edges
+    of all are used. A recall below LEAST_RECALL is an error; `recall` is the last one measured, null where
+    no vector was linked.
+
+    Vectors with LIMIT links or more are in groups so dense that lists would be pairs of
+    all: these alone are compared exactly, in blocks, with the classes that can lie near their component.
 
     Defined cases: null, zero and non-finite vectors (or with such components) have no
     links and are their own component, as have null ids no component; vectors of
@@ -313,26 +360,28 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     classes = scratch.table(vectors.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("m")), "classes")
     reps = classes.select("id", "v")
     count = classes.count()
-    found: list[DataFrame] = []
-    edges = labels = full = None
-    complete = False
-    for attempt in range(ATTEMPTS):
-        lists = neighbour_graph(reps, scratch, count, attempt)
-        found.append(_linked(lists, least, scratch))
-        edges = scratch.table(reduce(DataFrame.unionByName, found).distinct(), "edges")
-        labels = scratch.table(connected_components(edges.select(F.col("id").alias("a"), F.col("other").alias("b")), scratch), "labels")
-        full = scratch.table(edges.groupBy("id").count().filter(F.col("count") >= LIST).select("id"), "full")
-        fresh = _linked(_start(reps, count, ATTEMPTS + attempt), least, scratch)
-        recall, asked = audit(fresh, edges, labels, full)
-        complete = asked >= AUDIT and recall >= RECALL
-        if complete or count <= WIDE:
+    dense = lambda pairs: scratch.table(pairs.groupBy("id").count().filter(F.col("count") >= LIMIT).select("id"), "dense")
+    edges = labels = fresh = None
+    for attempt in range(STARTS):
+        lists = neighbour_graph(reps, scratch, count, least, attempt)
+        near = _linked(lists, least, scratch)
+        graph = scratch.table((near if edges is None else near.unionByName(edges)).distinct(), "graph")
+        scratch.drop(lists, near, edges, labels, fresh)
+        labels = scratch.table(connected_components(graph.select(F.col("id").alias("a"), F.col("other").alias("b")), scratch), "labels")
+        fresh = _linked(_start(reps, count, STARTS + attempt, least), least, scratch)
+        recall, asked = audit(fresh, graph, labels, full := dense(graph))
+        edges = scratch.table(graph.unionByName(fresh).distinct(), "edges")
+        scratch.drop(graph, full)
+        if asked >= AUDIT and recall >= RECALL:
             break
-        found.append(fresh)
-    wanted = full.select("id", F.lit(True).alias("wanted")) if complete else reps.select("id", F.lit(True).alias("wanted"))
+    if asked >= AUDIT and recall < LEAST_RECALL:
+        raise RuntimeError(f"recall of {recall:.3f} after {STARTS} starts")
+    wanted = dense(edges).withColumn("wanted", F.lit(True))
     rows = classes.join(labels, "id", "left").join(wanted, "id", "left")
     rows = scratch.table(rows.select("id", "v", "m", F.coalesce("component", "id").alias("component"), F.coalesce("wanted", F.lit(False)).alias("wanted")), "rows")
     exact = scratch.table(_search(rows, scratch, least), "exact")
     joined = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(exact.filter("a is not null").select("a", "b"))
+    joined = joined.unionByName(fresh.select(F.col("id").alias("a"), F.col("other").alias("b")))
     labels = scratch.table(connected_components(joined, scratch), "labels")
     searched = rows.filter("wanted").select("id")
     rest = edges.join(searched, "id", "left_anti").join(searched.toDF("other"), "other", "left_anti").join(classes.select(F.col("id").alias("other"), "m"), "other")
@@ -343,4 +392,4 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     ids = F.col(id_col).cast("bigint")
     out = table.select(F.col(id_col)).join(answers, ids == F.col("id"), "left")
     component = F.when(F.col(id_col).isNotNull(), F.coalesce(F.col("component"), ids))
-    return out.select(id_col, F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == ids, F.lit(True)).alias("kept"))
+    return out.select(id_col, F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(component == ids, F.lit(True)).alias("kept"), F.lit(recall if asked else None).cast("double").alias("recall"))

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from feedlake.llm import neighbours
 from feedlake.llm.neighbours import near_duplicates
@@ -76,7 +77,7 @@ def test_search_beyond_the_component_counts_both_sides(spark, monkeypatch):
     rows = [(i, a + rng.normal(scale=1e-4, size=32)) for i in range(30)] + [(100 + i, b + rng.normal(scale=1e-4, size=32)) for i in range(30)]
     rows += [(200 + i, v) for i, v in enumerate(rng.normal(size=(100, 32)))]
     assert answers(spark, rows) == brute(rows)
-    monkeypatch.setattr(neighbours, "CENTRES", 0)
+    monkeypatch.setattr(neighbours, "CENTRES", 1)
     assert answers(spark, rows) == brute(rows)
 
 
@@ -89,3 +90,42 @@ def test_audit_sees_the_loss_of_small_groups_and_of_everything(spark):
     assert neighbours.audit(frame(large + pairs), frame(large), labels, none) == (0.0, 70)
     assert neighbours.audit(frame(large + pairs), frame(large + pairs), labels, none) == (1.0, 70)
     assert neighbours.audit(frame([]), frame(large), labels, none)[1] < neighbours.AUDIT
+
+
+def test_few_links_among_many_vectors_are_found_without_comparing_all(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(50_000, 12)))]
+    rows += [(100_000 + i, rows[i][1] + rng.normal(scale=0.08, size=12)) for i in range(40)]
+    searched = []
+    real = neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda rows, scratch, least: searched.append(rows.filter("wanted").count()) or real(rows, scratch, least))
+    monkeypatch.setattr(neighbours, "AUDIT", 20)
+    got = near_duplicates(table(spark, rows)).cache()
+    x = np.array([np.array(v, np.float32) for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = np.array([i for i, _ in rows])
+    want = {}
+    for a in range(0, len(x), 5000):
+        i, j = np.nonzero(x[a : a + 5000] @ x.T >= 0.95)
+        for k, n in zip(*np.unique(i[i + a != j], return_counts=True), strict=True):
+            want[int(ids[a + k])] = int(n)
+    found = {r["vec_id"]: r["n_links"] for r in got.filter("n_links > 0").collect()}
+    assert searched == [0] and all(found[k] <= want[k] for k in found)
+    assert sum(found.values()) >= 0.98 * sum(want.values()) and len(want) >= 80
+    assert got.select("recall").distinct().count() == 1 and got.first()["recall"] >= 0.9
+
+
+def test_saturated_lists_are_enlarged_before_anything_is_searched(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(400, 24)))]
+    rows += [(1000 + 100 * g + i, rows[g][1] + rng.normal(scale=0.02, size=24)) for g in range(5) for i in range(30)]
+    monkeypatch.setattr(neighbours, "_search", lambda rows, scratch, least: rows.filter("wanted").select("id", F.lit(1 // 0 if rows.filter("wanted").count() else 0).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b")))
+    got, want = answers(spark, rows), brute(rows)
+    assert sum(n for n, _, _ in got.values()) >= 0.98 * sum(n for n, _, _ in want.values())
+    assert all(got[i][1:] == want[i][1:] for i in want)
+
+
+def test_splits_grow_with_the_table():
+    assert neighbours._splits(100, 0.95) == (0, 1)
+    planes, splits = neighbours._splits(10**6, 0.95)
+    assert planes == 13 and 12 <= splits <= 16 and neighbours._splits(10**9, 0.95)[1] > splits
