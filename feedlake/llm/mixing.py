@@ -17,10 +17,8 @@ from .common import Scratch, whole_text
 
 #: Buckets of hashed words, most training rows (shared by the domains), words that a text counts for at most, and steps between 0 and 1 of a cell.
 BUCKETS, TRAIN_ROWS, EVIDENCE, GRID = 4096, 4000, 40.0, 50
-#: Rounds of projected gradient, and the change of all shares at which they end.
-ROUNDS, ENOUGH = 60, 1e-4
-#: Growth of the step after a round that lowered the objective.
-FASTER = 1.5
+#: Rounds of projected gradient at most, the distance of all shares from the targets at which they end, and the one that counts as met.
+ROUNDS, ENOUGH, MET = 60, 1e-6, 1e-3
 #: Domains at most.
 MOST_DOMAINS = 16
 
@@ -94,37 +92,42 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", te
 def solve_rates(cells: DataFrame, domains: tuple[str, ...], targets: dict[str, float]) -> tuple[list[np.ndarray], np.ndarray]:
     """Steps whose replay gives each document's rate, and the shares reached.
 
-    `cells` has p0, p1, ... (posteriors) and tokens. Minimised over rates r >= 0 is
-    sum over domains of (share of expected tokens - target)^2 / current share: each
-    round adds up, over all cells, the tokens that the present rates expect in each
-    domain, and moves every rate against its gradient, not below 0. A step is a
-    vector with one number for each domain, so a rate is a function of a document's
-    posteriors and the list of steps; rates are never written between rounds. Steps grow
-    while the objective falls; one that doesn't lower it is taken back and halved.
+    `cells` has p0, p1, ... (posteriors) and tokens. Minimised over rates r >= 0 is the
+    weighted sum of (share of expected tokens - target)^2: each round adds up, over all cells,
+    the tokens that the present rates expect in each domain and the moments of the posteriors
+    where the rate isn't 0, and moves every rate against its gradient, scaled by these moments, not
+    below 0. So rates that stay above 0 meet the targets at once, and a few rounds settle which
+    do. A step is a vector with one number for each domain, so a rate is a function of a
+    document's posteriors and the list of steps; rates are never written between rounds. A step that
+    doesn't lower the objective is taken back and halved.
     """
     size = len(domains)
     want = np.array([max(targets.get(d, 0.0), 0.0) for d in domains])
     want = want / want.sum() if want.sum() > 0 else np.full(size, 1.0 / size)
-    moments = [F.sum(F.col("tokens") * F.col(f"p{a}") * F.col(f"p{b}")) for a in range(size) for b in range(size)]
-    first = cells.agg(F.sum("tokens").alias("n"), *moments).first()
-    total = float(first[0] or 0)
+    p = [F.col(f"p{k}") for k in range(size)]
+
+    def sums(steps: list[np.ndarray]) -> tuple[float, np.ndarray, np.ndarray]:
+        rows = cells.withColumn("r", rate_of(p, steps))
+        shares = [F.sum(F.col("tokens") * F.col("r") * x) for x in p]
+        moments = [F.sum(F.when(F.col("r") > 0, F.col("tokens") * x * y)) for x in p for y in p]
+        first = rows.agg(F.sum("tokens").alias("n"), *shares, *moments).first()
+        values = np.array([float(x or 0) for x in first])
+        total = max(values[0], 1.0)
+        return values[0], values[1 : size + 1] / total, values[size + 1 :].reshape(size, size) / total
+
+    total, shares, moments = sums([])
     if total == 0:
         return [], np.zeros(size)
-    m = np.array([float(x or 0) for x in first[1:]]).reshape(size, size) / total
-    weight = 1 / np.maximum(m.sum(axis=1), 1e-6)
-    speed = 1 / max(np.linalg.eigvals(weight[:, None] * m).real.max(), 1e-9)
+    weight, speed = 1 / np.maximum(shares, 1e-6), 1.0
     steps: list[np.ndarray] = []
-    shares = m.sum(axis=1)
     for _ in range(ROUNDS):
-        if np.abs(shares - want).max() < ENOUGH:
+        if np.abs(shares - want).max() < ENOUGH or speed < 1e-6:
             break
-        step = -speed * weight * (shares - want)
-        rate = rate_of([F.col(f"p{k}") for k in range(size)], [*steps, step])
-        row = cells.withColumn("r", rate).agg(*[F.sum(F.col("tokens") * F.col("r") * F.col(f"p{k}")) for k in range(size)]).first()
-        new = np.array([float(x) for x in row]) / total
+        step = -speed * np.linalg.pinv(moments, rcond=1e-9, hermitian=True) @ (shares - want)
+        _, new, less = sums([*steps, step])
         if (weight * (new - want) ** 2).sum() < (weight * (shares - want) ** 2).sum():
             steps.append(step)
-            shares, speed = new, speed * FASTER
+            shares, moments, speed = new, less, min(1.0, speed * 2)
         else:
             speed /= 2
     return steps, shares
@@ -141,7 +144,7 @@ def rate_of(p: list[Column], steps: list[np.ndarray]) -> Column:
 
 
 def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", seed: int = 0, whole: bool = False) -> DataFrame:
-    """(id_col, tokens, p_<domain> ..., rate, copies) of every row; with `whole` also `row`, a struct of all its columns.
+    """(id_col, tokens, p_<domain> ..., rate, copies, share_<domain> ...) of every row; with `whole` also `row`, a struct of all its columns.
 
     Rates make the expected tokens of the domains match `targets` (shares, made to
     add up to 1) at the corpus's own total. `copies` rounds a rate up or down by the
@@ -152,8 +155,8 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col:
     posteriors of its tokens, so a round reads cells, whatever the corpus's size;
     cells are summed in each task first, so a source that holds a third of all rows is
     a handful of rows in the shuffle. Each document's rate follows from its own
-    posteriors. Targets that ROUNDS rounds don't reach, as those of a domain without
-    documents, give a warning with the shares reached.
+    posteriors. share_<domain> is the share that the rates reach in the cells; where one is further than
+    MET from its target, as that of a domain without documents, there is a warning too.
 
     Defined cases: null and empty texts have no words, the prior's posteriors and a
     rate like any other; without tokens every rate is 1; a domain that no document
@@ -170,10 +173,10 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col:
     scored = scratch.table(scored, "scored")
     grid = [F.round(F.col(f"p{k}") * GRID).alias(f"c{k}") for k in range(size)]
     means = [(F.sum(F.col("tokens") * F.col(f"p{k}")) / F.sum("tokens")).alias(f"p{k}") for k in range(size)]
-    cells = scratch.table(scored.filter("tokens > 0").groupBy(*grid).agg(F.sum("tokens").alias("tokens"), *means).coalesce(1), "cells")
+    cells = scratch.table(scored.filter("tokens > 0").groupBy(*grid).agg(F.sum("tokens").alias("tokens"), *means), "cells")
     steps, shares = solve_rates(cells, model.domains, targets)
     total = sum(max(x, 0) for x in targets.values())
-    if total > 0 and any(abs(targets.get(d, 0) / total - x) > 10 * ENOUGH for d, x in zip(model.domains, shares, strict=True)):
+    if total > 0 and any(abs(max(targets.get(d, 0), 0) / total - x) > MET for d, x in zip(model.domains, shares, strict=True)):
         warnings.warn(f"the targets are not met, the shares reached are {dict(zip(model.domains, shares.round(4).tolist(), strict=True))}", stacklevel=2)
     u = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(1 << 40)) / float(1 << 40)
     rated = scored.withColumn("rate", rate_of([F.col(f"p{k}") for k in range(size)], steps))
@@ -183,6 +186,7 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], id_col:
         *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(model.domains)],
         "rate",
         (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies"),
+        *[F.lit(float(x)).alias(f"share_{d}") for d, x in zip(model.domains, shares, strict=True)],
         *row,
     )
 

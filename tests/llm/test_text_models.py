@@ -135,3 +135,22 @@ def test_every_labelled_language_has_a_model(spark):
     assert {r["y"]: r["count"] for r in sample} == {"en": 1000, "de": 2, "sv": 2}
     got = language_id.identify(docs.filter("doc_id >= 9000"), language_id.fit(docs)).collect()
     assert all(r["text_language"] == ("de" if r["doc_id"] < 9100 else "sv") for r in got)
+
+
+def test_rates_are_those_of_a_plain_solution(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.3, 0.2, 0.1], size=400)
+    tokens = rng.integers(1, 500, 400)
+    want = np.array([0.04, 0.06, 0.9])
+    lam = np.zeros(3)
+    for _ in range(60_000):
+        gap = (tokens * np.maximum(0, 1 + p @ lam)) @ p / tokens.sum() - want
+        lam -= 2.0 * gap
+    assert np.abs(gap).max() < 1e-6 and (1 + p @ lam < 0).any()
+    cells = spark.createDataFrame([(*map(float, a), int(n)) for a, n in zip(p, tokens, strict=True)], "p0 double, p1 double, p2 double, tokens bigint")
+    steps, shares = mixing.solve_rates(cells, ("a", "b", "c"), dict(zip("abc", want, strict=True)))
+    rates = np.array([r[0] for r in cells.select(mixing.rate_of([F.col(f"p{k}") for k in range(3)], steps)).collect()])
+    assert np.abs(shares - want).max() < 1e-6 and len(steps) < 40 and rates.min() == 0
+    assert np.abs((tokens * rates) @ p / tokens.sum() - want).max() < 1e-6
+    none, kept = mixing.solve_rates(cells, ("a", "b", "c", "d")[:3], {"a": 1.0})
+    assert kept[0] > 0.9 and kept.sum() < 1.1
