@@ -4,13 +4,15 @@ A table at a path has a ledger in its folder `_ledger`, which readers of the tab
 a row for each loaded file or member, with its number of rows, also where that is 0, and one
 for each archive of which nothing is left to load. A batch is staged with its ledger rows
 in `_staging`, marked as ready, then moved, the ledger last. Whoever comes next finishes
-what is marked and removes what isn't, so that a batch is loaded once or not at all.
+what is marked and removes what isn't, so that a batch is loaded once or not at all. Small
+batches are staged together, by one job, and then marked and moved one by one.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ from .naming import align_by_name
 
 LEDGER = "file_path string, archive string, member string, size bigint, modified timestamp, n_rows bigint, batch string, columns string"
 READY = "_READY"
+#: Column and folders by which staged rows of several batches are told apart.
+BATCH = "__batch"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -122,34 +126,81 @@ def batch_name(files: list[str]) -> str:
     return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:16]
 
 
+def known_batches(spark: SparkSession, target: str, batches: list[str]) -> set[str]:
+    """Which of the batches the ledger has."""
+    return {r["batch"] for r in read_ledger(spark, target).join(F.broadcast(spark.createDataFrame([(b,) for b in batches], "batch string")), "batch", "left_semi").select("batch").distinct().collect()}
+
+
+def _fit(rows: DataFrame, there: StructType | None, widen: bool) -> DataFrame:
+    """Rows in the columns of the table, and with `widen` their own behind these."""
+    if there is None:
+        return rows
+    have = {f.name.lower() for f in there}
+    return align_by_name(rows, StructType([*there, *[f for f in rows.schema if widen and f.name.lower() not in have]]))
+
+
+def _counted(spark: SparkSession, files: DataFrame, schema: StructType, data: str) -> DataFrame:
+    """Ledger rows with the number of staged rows of each file."""
+    counts = spark.read.schema(schema).parquet(data).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    return files.join(counts, "file_path", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0))).withColumn("columns", F.lit(schema.json()))
+
+
 def publish(spark: SparkSession, rows: DataFrame | None, files: DataFrame, target: str, batch: str, widen: bool = False) -> None:
     """Append `rows` and their ledger rows `files` (file_path, archive, member, size, modified) as one batch.
 
     Columns that the table lacks are an error, or with `widen` they are added. A batch that
     the ledger has is left alone. Without rows only the ledger grows.
     """
-    if read_ledger(spark, target).filter(F.col("batch") == batch).limit(1).count():
+    if known_batches(spark, target, [batch]):
         return
-    stage, columns = f"{target}/_staging/{batch}", None
+    stage = f"{target}/_staging/{batch}"
     delete(spark, stage)
-    files = files.select("file_path", "archive", "member", "size", "modified")
+    files = files.select("file_path", "archive", "member", "size", "modified", F.lit(batch).alias("batch"))
     if rows is not None:
-        there = table_schema(spark, target)
-        if there is not None:
-            have = {f.name.lower() for f in there}
-            rows = align_by_name(rows, StructType([*there, *[f for f in rows.schema if widen and f.name.lower() not in have]]))
+        rows = _fit(rows, table_schema(spark, target), widen)
         rows.write.parquet(f"{stage}/data")
-        columns = rows.schema.json()
-        counts = spark.read.schema(rows.schema).parquet(f"{stage}/data").groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
-        files = files.join(counts, "file_path", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+        files = _counted(spark, files, rows.schema, f"{stage}/data")
     else:
-        files = files.withColumn("n_rows", F.lit(None).cast("bigint"))
-    files = files.withColumns({"batch": F.lit(batch), "columns": F.lit(columns).cast("string")})
+        files = files.withColumns({"n_rows": F.lit(None).cast("bigint"), "columns": F.lit(None).cast("string")})
     align_by_name(files, StructType.fromDDL(LEDGER)).coalesce(1).write.parquet(f"{stage}/ledger")
     _mark(spark, stage)
     _finish(spark, target, batch)
 
 
+def stage_round(spark: SparkSession, rows: DataFrame, files: DataFrame, target: str, widen: bool = False) -> str:
+    """Write the rows of several batches and their ledger rows `files` (as for `publish`, with `batch`) by one job each; the folder, for `finish_round`.
+
+    Rows are dealt to batches by their file_path; one that no file has is an error.
+    """
+    stage = f"{target}/_staging/round-{uuid.uuid4().hex[:16]}"
+    there = table_schema(spark, target)
+    rows = _fit(rows, there, widen)
+    own = F.broadcast(files.groupBy(F.col("file_path").alias("__path")).agg(F.min("batch").alias(BATCH)))
+    stray = F.raise_error(F.concat(F.lit("rows of a file that isn't in the round: "), F.col("file_path"))).cast("string")
+    dealt = rows.join(own, F.col("file_path") == F.col("__path"), "left").drop("__path").withColumn(BATCH, F.coalesce(BATCH, stray))
+    dealt.write.partitionBy(BATCH).parquet(f"{stage}/data")
+    if there is None:  # a table has a file, though it may have no rows
+        rows.limit(0).write.parquet(f"{stage}/none")
+    known = _counted(spark, files.select("file_path", "archive", "member", "size", "modified", "batch"), rows.schema, f"{stage}/data")
+    align_by_name(known, StructType.fromDDL(LEDGER)).withColumn(BATCH, F.col("batch")).coalesce(1).write.partitionBy(BATCH).parquet(f"{stage}/ledger")
+    return stage
+
+
+def finish_round(spark: SparkSession, target: str, stage: str, batches: list[str]) -> None:
+    """Mark and move the batches of a staged round, one after the other."""
+    for batch in batches:
+        own = f"{target}/_staging/{batch}"
+        delete(spark, own)
+        for folder in ("data", "ledger"):
+            if path_exists(spark, f"{stage}/{folder}/{BATCH}={batch}"):
+                rename(spark, f"{stage}/{folder}/{BATCH}={batch}", f"{own}/{folder}")
+        if batch == batches[0] and path_exists(spark, f"{stage}/none") and not path_exists(spark, f"{own}/data"):
+            rename(spark, f"{stage}/none", f"{own}/data")
+        _mark(spark, own)
+        _finish(spark, target, batch)
+    delete(spark, stage)
+
+
 def replace(spark: SparkSession, target: str) -> None:
     """Put the finished table `target`__new in the place of `target`; readers see the one or the other, but for the moment between two renames."""
     old, new = f"{target}__old", f"{target}__new"

@@ -89,7 +89,8 @@ def _reports(archives: DataFrame, members: DataFrame, feed: Feed) -> DataFrame:
     rows = zip_feed.read_zip_csv(archives, members)
     path = F.col("file_path")
     names = {"directory_name": P.directory_name(path), "file_name": P.base_name(path), "file_date": file_dates(feed.dates, path)}
-    return rows.withColumns(names).withColumn("file_path", F.replace(path, F.lit("!"), F.lit("")))
+    own = F.broadcast(members.select(F.concat("archive", F.lit("!"), "member").alias("__marked"), F.col("file_path").alias("__path")).distinct())
+    return rows.withColumns(names).join(own, path == F.col("__marked")).withColumn("file_path", F.col("__path")).drop("__marked", "__path")
 
 
 def read_feed(spark: SparkSession, feed: Feed, files: DataFrame, org: str = "") -> DataFrame:

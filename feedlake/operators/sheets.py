@@ -106,8 +106,8 @@ def _problem(sheets: list[Sheet]) -> Column:
 
 
 def sheet_problems(cells: DataFrame, sheets: list[Sheet]) -> DataFrame:
-    """(table, problem) of the sheets that can't be read."""
-    found = sheet_headers(sheet_grid(cells, sheets)).select(_per_sheet(sheets, lambda s: s.table, "string").alias("table"), _problem(sheets).alias("problem"))
+    """(file_path, table, problem) of the sheets that can't be read."""
+    found = sheet_headers(sheet_grid(cells, sheets)).select("file_path", _per_sheet(sheets, lambda s: s.table, "string").alias("table"), _problem(sheets).alias("problem"))
     return found.filter("problem IS NOT NULL")
 
 

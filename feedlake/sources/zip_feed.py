@@ -12,7 +12,7 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator
-from functools import reduce
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -26,6 +26,8 @@ from .store import list_files, open_file
 
 #: Lines handed to Spark at once, and bytes of packed members that one task reads; a larger member has a task of its own.
 LINES, PART = 5000, 64 << 20
+#: What a member counts for at least when tables of members are dealt to tasks: opening it takes time too.
+OPEN = 256 << 10
 ROWS = "archive string, member string, row_no bigint, cells array<string>"
 
 
@@ -88,8 +90,15 @@ def _records(z: zipfile.ZipFile, member: str) -> Iterator[list[str]]:
                 yield cells
 
 
-def _batches(handle: str | bytes, archive: str, members: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows of ROWS, the header as row 0; records whose number of cells differs from the header's are dropped."""
+def _columns(header: list[str]) -> list[str]:
+    return unique_names([n.upper() for n in header_names(header)])
+
+
+def _batches(handle: str | bytes, archive: str, members: list[str], columns: list[str] | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of ROWS, the header as row 0; records whose number of cells differs from the header's are dropped.
+
+    With `columns`, cells are in their order, by the member's own header, and null where it lacks one.
+    """
     names = ["archive", "member", "row_no", "cells"]
     with _open(handle) as z:
         for member in members:
@@ -100,10 +109,13 @@ def _batches(handle: str | bytes, archive: str, members: list[str]) -> Iterator[
                 return pa.RecordBatch.from_arrays(columns, names)
 
             for k, cells in enumerate(_records(z, member)):
-                width = len(cells) if width is None else width
+                if width is None:
+                    width = len(cells)
+                    at = {n: i for i, n in enumerate(_columns(cells))} if columns else {}
+                    places = [at.get(n) for n in columns or ()]
                 if len(cells) == width:
                     numbers.append(k)
-                    rows.append(cells)
+                    rows.append([None if i is None else cells[i] for i in places] if columns else cells)
                 if len(rows) >= LINES:
                     yield batch()
                     numbers, rows = [], []
@@ -124,6 +136,11 @@ class MemberReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.members = [tuple(m) for m in json.loads(options["members"])]
         self.part = int(options.get("partBytes", PART))
+        self.columns = json.loads(options.get("columns", "null"))
+
+    def __getstate__(self) -> dict:
+        """What every task gets: the list of all members isn't among it, as a task's part has its own."""
+        return {"columns": self.columns}
 
     def partitions(self) -> list[MemberPart]:
         parts, size = [], None
@@ -135,16 +152,19 @@ class MemberReader(DataSourceReader):
         return [MemberPart(p) for p in parts]
 
     def read(self, partition: MemberPart) -> Iterator[pa.RecordBatch]:
-        for source, archive, member in partition.members:
-            yield from _batches(source, archive, [member])
+        for (source, archive), own in groupby(partition.members, lambda m: m[:2]):
+            yield from _batches(source, archive, [m[2] for m in own], self.columns)
 
 
 class ArchiveCsv(DataSource):
     """spark.read.format("archive_csv"): the records of CSV members of archives, by ranges.
 
-    Options: members, a JSON list of [source, archive, member, packed bytes]; partBytes.
+    Options: members, a JSON list of [source, archive, member, packed bytes]; partBytes; columns, a JSON list
+    of names in whose order cells are given.
     """
 
+    planned = False
+
     @classmethod
     def name(cls) -> str:
         return "archive_csv"
@@ -153,11 +173,16 @@ class ArchiveCsv(DataSource):
         return ROWS
 
     def reader(self, schema) -> MemberReader:
+        self.planned = True
         return MemberReader(self.options)
 
+    def __getstate__(self) -> dict:
+        """Tasks get the source that was planned, without its options: these list all members."""
+        return {"options": {} if self.planned else self.options}
 
-def member_rows(archives: DataFrame, members: DataFrame) -> DataFrame:
-    """(archive, member, row_no, cells) of the chosen members' CSV records, the header as row 0.
+
+def member_rows(archives: DataFrame, members: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(archive, member, row_no, cells) of the chosen members' CSV records, the header as row 0; with `columns`, cells in their order.
 
     Records whose number of cells differs from the header's are dropped, quoted line ends are
     kept. The driver sees names of members, as it does of files.
@@ -165,22 +190,22 @@ def member_rows(archives: DataFrame, members: DataFrame) -> DataFrame:
     if _handle(archives) == "source":
         own = archives.select(F.col("path").alias("archive"), "source")
         rows = members.join(own, "archive").select("source", "archive", "member", F.coalesce("packed", F.lit(PART)) if "packed" in members.columns else F.lit(PART)).distinct()
-        return scan_members(archives.sparkSession, sorted(map(tuple, rows.collect()), key=lambda m: m[1:3]))
+        return scan_members(archives.sparkSession, sorted(map(tuple, rows.collect()), key=lambda m: m[1:3]), columns=columns)
     chosen = members.groupBy("archive").agg(F.sort_array(F.collect_set("member")).alias("members"))
     both = archives.join(chosen, archives["path"] == chosen["archive"]).select("path", "content", "members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, content, wanted in zip(*[b.column(c).to_pylist() for c in ("path", "content", "members")], strict=True):
-                yield from _batches(bytes(content), path, wanted)
+                yield from _batches(bytes(content), path, wanted, columns)
 
     return both.mapInArrow(run, ROWS)
 
 
-def scan_members(spark: SparkSession, members: list[tuple[str, str, str, int]], part_bytes: int = PART) -> DataFrame:
+def scan_members(spark: SparkSession, members: list[tuple[str, str, str, int]], part_bytes: int = PART, columns: list[str] | None = None) -> DataFrame:
     """The records of (source, archive, member, packed bytes)."""
     spark.dataSource.register(ArchiveCsv)
-    return spark.read.format("archive_csv").option("members", json.dumps(members)).option("partBytes", part_bytes).load()
+    return spark.read.format("archive_csv").option("members", json.dumps(members)).option("partBytes", part_bytes).option("columns", json.dumps(columns)).load()
 
 
 def member_headers(archives: DataFrame, members: DataFrame) -> DataFrame:
@@ -205,18 +230,19 @@ def member_headers(archives: DataFrame, members: DataFrame) -> DataFrame:
 def read_zip_csv(archives: DataFrame, members: DataFrame) -> DataFrame:
     """The chosen CSV members united by column name (upper case), every column a string, file_path archive!member.
 
-    Members are read together by equal header, each once behind its first record; the driver
-    sees headers and names of members. Empty members are left out.
+    Members are read together, each once behind its first record and by its own header, however many
+    headers there are; the driver sees headers and names of members. Empty members are left out.
     """
     spark = archives.sparkSession
     heads = member_headers(archives, members).filter("header IS NOT NULL").collect()
-    frames = []
-    for h in sorted({tuple(r["header"]) for r in heads}):
-        own = sorted((r["source"], r["archive"], r["member"], r["packed"]) for r in heads if tuple(r["header"]) == h)
-        if _handle(archives) == "source":
-            rows = scan_members(spark, own)
-        else:
-            rows = member_rows(archives, spark.createDataFrame([m[1:3] for m in own], "archive string, member string"))
-        cells = [F.nullif(F.col("cells")[k], F.lit("")).alias(n) for k, n in enumerate(unique_names([n.upper() for n in header_names(list(h))]))]
-        frames.append(rows.filter("row_no > 0").select(*cells, F.concat("archive", F.lit("!"), "member").alias("file_path")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "file_path string")
+    if not heads:
+        return spark.createDataFrame([], "file_path string")
+    headers = [_columns(list(h)) for h in sorted({tuple(r["header"]) for r in heads})]
+    columns = list(dict.fromkeys(n for names in headers for n in names))
+    if _handle(archives) == "source":
+        rows = scan_members(spark, sorted((r["source"], r["archive"], r["member"], max(r["packed"], OPEN)) for r in heads), columns=columns)
+    else:
+        rows = member_rows(archives, spark.createDataFrame([(r["archive"], r["member"]) for r in heads], "archive string, member string"), columns)
+    cells = [F.nullif(F.col("cells")[k], F.lit("")).alias(n) for k, n in enumerate(columns)]
+    first = len(headers[0])
+    return rows.filter("row_no > 0").select(*cells[:first], F.concat("archive", F.lit("!"), "member").alias("file_path"), *cells[first:])
