@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.paths import plain_path
 from feedlake.operators import ledger as L
-from feedlake.operators.ingest import feed_files, load_files
+from feedlake.operators.ingest import ROUND_FILES, feed_files, load_files
 from feedlake.operators.lineage import split_stamped
 from feedlake.plans.defs import Feed
+from feedlake.sinks import path_exists
+from feedlake.sources.listing import LISTING
 
 
 def stream_files(spark: SparkSession, root: str, glob: str, max_files_per_trigger: int = 25) -> DataFrame:
@@ -42,19 +44,35 @@ def load_listing(spark: SparkSession, feed: Feed, listing: DataFrame, target: st
     return load_files(spark, feed, new, opened, target, org=org)
 
 
+def load_pending(spark: SparkSession, feed: Feed, target: str, pending: str, org: str = "") -> None:
+    """Load the files that triggers have noted below `pending`, then forget the notes; files that were loaded before a run died are in the ledger."""
+    if path_exists(spark, pending):
+        notes = spark.read.schema(LISTING).option("recursiveFileLookup", True).parquet(pending)
+        last = notes.groupBy("file_path").agg(F.max(F.struct("modified", "source_path", "length")).alias("f"))
+        load_listing(spark, feed, last.select("file_path", "f.source_path", "f.length", "f.modified"), target, org)
+        L.delete(spark, pending)
+
+
 def stream_ingest(spark: SparkSession, feed: Feed, root: str, target: str, checkpoint: str, max_files_per_trigger: int = 25, org: str = "") -> int:
     """Append the rows of files that neither an earlier run with this checkpoint nor the table's ledger has. Rows appended.
 
-    Runs until what is there is read, then ends. The checkpoint says which files a batch has,
-    the ledger which of them are loaded: a batch whose run died is repeated, and its files
-    are in the table once. Archives and workbooks come whole or not at all; a table can be
-    loaded by streams and by `ingest` in turn.
+    Runs until what is there is read, then ends. A trigger notes its files below the checkpoint;
+    files of small triggers are loaded together, at ROUND_FILES and at the end. The checkpoint and the notes
+    say which files there are, the ledger which of them are loaded: where a run died, the next one
+    goes on with its notes, and its files are in the table once. Archives and workbooks come whole
+    or not at all; a table can be loaded by streams and by `ingest` in turn.
     """
-    before = loaded_rows(spark, target)
+    before, pending, waiting = loaded_rows(spark, target), f"{checkpoint.rstrip('/')}/pending", 0
 
-    def load(listing: DataFrame, _: int) -> None:
-        load_listing(listing.sparkSession, feed, listing, target, org)
+    def note(listing: DataFrame, trigger: int) -> None:
+        nonlocal waiting
+        listing.coalesce(1).write.mode("overwrite").parquet(f"{pending}/{trigger}")
+        waiting += max_files_per_trigger
+        if waiting >= ROUND_FILES:
+            load_pending(listing.sparkSession, feed, target, pending, org)
+            waiting = 0
 
-    query = stream_files(spark, root, feed.glob, max_files_per_trigger).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream_files(spark, root, feed.glob, max_files_per_trigger).writeStream.foreachBatch(note).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    load_pending(spark, feed, target, pending, org)
     return loaded_rows(spark, target) - before

@@ -42,3 +42,28 @@ def test_batches_of_a_family_are_decoded_and_tidied_together(spark, tmp_path, mo
     values = {n: sorted(r["value_text"] for r in ledger.read_table(spark, t).collect()) for n, t in targets.items()}
     assert values == {"t1": [str(k) for k in range(5) for _ in "xy"], "t2": [str(k) for k in range(3) for _ in "xy"]}
     assert batches(spark, targets["t1"]) == [1] * 5 and batches(spark, targets["t2"]) == [1] * 3
+
+
+def test_triggers_are_loaded_together_and_none_is_lost(spark, tmp_path, monkeypatch):
+    from feedlake.streaming import ingest as S
+
+    root, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    for k in range(6):
+        put(root, f"{k}.txt", f"{k} x\n")
+    calls = counted(monkeypatch, S, "load_listing")
+    assert S.stream_ingest(spark, LINES, str(root), target, check, max_files_per_trigger=2) == 6
+    assert len(calls) == 1 and batches(spark, target) == [1] * 6
+
+    def dies(*_, **__):
+        raise OSError("killed")
+
+    put(root, "6.txt", "6 x\n")
+    with monkeypatch.context() as m:
+        m.setattr(S, "load_listing", dies)
+        with pytest.raises(OSError, match="killed"):
+            S.stream_ingest(spark, LINES, str(root), target, check, max_files_per_trigger=2)
+    put(root, "7.txt", "7 x\n")
+    monkeypatch.setattr(S, "ROUND_FILES", 1)
+    assert S.stream_ingest(spark, LINES, str(root), target, check, max_files_per_trigger=2) == 2
+    assert sorted(r["k"] for r in ledger.read_table(spark, target).collect()) == [str(k) for k in range(8)]
+    assert S.stream_ingest(spark, LINES, str(root), target, check) == 0
