@@ -67,3 +67,59 @@ def test_triggers_are_loaded_together_and_none_is_lost(spark, tmp_path, monkeypa
     assert S.stream_ingest(spark, LINES, str(root), target, check, max_files_per_trigger=2) == 2
     assert sorted(r["k"] for r in ledger.read_table(spark, target).collect()) == [str(k) for k in range(8)]
     assert S.stream_ingest(spark, LINES, str(root), target, check) == 0
+
+
+def archive(**members):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in members.items():
+            z.writestr(f"{name}.csv", content)
+    return buffer.getvalue()
+
+
+def test_members_of_many_batches_are_read_in_one_plan(spark, tmp_path, monkeypatch):
+    root, target = tmp_path / "in", str(tmp_path / "out")
+    for k in range(4):
+        put(root, f"a{k}!.zip", archive(x=f"k,c{k}\n{k},y\n", y=f"k\n{k + 4}\n", z="k\n"))
+    feed = Feed("z", "*.zip", "zip_csv", dates="load", batch=2)
+    calls = counted(monkeypatch, I, "read_feed")
+    assert [I.ingest(spark, feed, str(root), target) for _ in range(2)] == [12, 0]
+    assert len(calls) == 1 and batches(spark, target) == [2] * 6
+    rows = ledger.read_table(spark, target)
+    assert sorted((r["K"], r["C0"], r["C3"]) for r in rows.collect()) == [(str(k), "y" if k == 0 else None, "y" if k == 3 else None) for k in range(8)]
+    assert sorted(r["n_rows"] for r in ledger.read_ledger(spark, target).filter("member IS NOT NULL").collect()) == [0] * 4 + [1] * 8
+    paths = {r["file_path"] for r in rows.collect()}
+    assert len(paths) == 8 and f"{root}/a0!.zipx.csv" in paths
+
+
+def test_batches_ahead_of_a_file_that_cannot_be_read_are_loaded(spark, tmp_path, monkeypatch):
+    root, target = tmp_path / "in", str(tmp_path / "out")
+    for k in range(5):
+        put(root, f"{k}.txt", f"{k} x\n")
+    real = I.read_feed
+
+    def reads(session, feed, files, org=""):
+        if files.filter("file_path LIKE '%3.txt'").count():
+            raise OSError("unreadable")
+        return real(session, feed, files, org)
+
+    monkeypatch.setattr(I, "read_feed", reads)
+    with pytest.raises(OSError, match="unreadable"):
+        I.ingest(spark, LINES, str(root), target)
+    assert sorted(r["k"] for r in ledger.read_table(spark, target).collect()) == ["0", "1", "2"]
+    monkeypatch.setattr(I, "read_feed", real)
+    assert I.ingest(spark, LINES, str(root), target) == 2
+
+
+def test_a_round_without_rows_is_a_table(spark, tmp_path):
+    root, target = tmp_path / "in", str(tmp_path / "out")
+    for k in range(2):
+        put(root, f"a{k}.zip", archive(x="k,v\n"))
+    assert I.ingest(spark, Feed("z", "*.zip", "zip_csv", dates="load", batch=1), str(root), target) == 2
+    assert spark.read.parquet(target).count() == 0 and "V" in ledger.read_table(spark, target).columns
+
+
+def test_rounds_hold_small_batches_up_to_a_bound():
+    files = [{"packed": None, "size": s} for s in (1, 1, 1, I.ROUND_BYTES, 1)]
+    assert [[len(b) for b in r] for r in I.rounds(files, 2)] == [[2], [2], [1]]
+    assert [len(r) for r in I.rounds([{"packed": 1, "size": 9}] * (I.ROUND_FILES + 1), 1)] == [I.ROUND_FILES, 1]
