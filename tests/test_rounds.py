@@ -123,3 +123,21 @@ def test_rounds_hold_small_batches_up_to_a_bound():
     files = [{"packed": None, "size": s} for s in (1, 1, 1, I.ROUND_BYTES, 1)]
     assert [[len(b) for b in r] for r in I.rounds(files, 2)] == [[2], [2], [1]]
     assert [len(r) for r in I.rounds([{"packed": 1, "size": 9}] * (I.ROUND_FILES + 1), 1)] == [I.ROUND_FILES, 1]
+
+
+def test_tasks_get_their_own_members_only(spark, tmp_path):
+    import json
+
+    from pyspark import cloudpickle
+
+    from feedlake.sources import zip_feed
+
+    members = [[f"/in/{k}.zip", f"/in/{k}.zip", "x.csv", 10] for k in range(5000)]
+    source = cloudpickle.loads(cloudpickle.dumps(zip_feed.ArchiveCsv({"members": json.dumps(members), "partBytes": "10"})))
+    reader = source.reader(None)
+    assert len(reader.partitions()) == 5000 and len(cloudpickle.dumps((reader, source))) < 2000
+    put(tmp_path, "0.zip", archive(x="a,b\n1,2\n", y="a\n3\n"))
+    path = str(tmp_path / "0.zip")
+    rows = zip_feed.scan_members(spark, [(path, path, m, 10) for m in ("x.csv", "y.csv")], part_bytes=1, columns=["B", "A"])
+    assert sorted((r["member"], r["row_no"], tuple(r["cells"])) for r in rows.filter("row_no > 0").collect()) == [("x.csv", 1, ("2", "1")), ("y.csv", 1, (None, "3"))]
+    assert rows.rdd.getNumPartitions() == 2
