@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from feedlake.plans.defs import Feed
 from feedlake.sources import workbook
@@ -88,37 +89,39 @@ def _round_files(spark: SparkSession, batches: dict[str, list]) -> DataFrame:
     return spark.createDataFrame([(*r, name) for name, files in batches.items() for r in files], f"{FILES}, batch string")
 
 
-def load_round(spark: SparkSession, feed: Feed, batches: list[list], target: str, org: str = "") -> None:
-    """Load batches that are read and staged together, each of them once or not at all.
+def load_round(spark: SparkSession, feed: Feed, batches: list[list], target: str, there: StructType | None, org: str = "") -> StructType | None:
+    """Load batches that are read and staged together, each of them once or not at all; the columns of the table, which were `there` before.
 
-    Where they can't be read or staged, halves of them are loaded, so that batches ahead of the bad file are.
+    The ledger must have none of them. Where they can't be read or staged, halves of them are loaded, so that batches ahead of the bad file are.
     """
     if len(batches) == 1:
-        return load_batch(spark, feed, batches[0], target, org=org)
+        load_batch(spark, feed, batches[0], target, org=org)
+        return L.table_schema(spark, target)
     named = {_name(b): b for b in batches}
-    known = L.known_batches(spark, target, list(named))
-    named = {n: b for n, b in named.items() if n not in known}
-    if not named:
-        return None
     part = _round_files(spark, named)
     try:
-        stage = L.stage_round(spark, read_feed(spark, feed, part, org), part, target, widen=feed.kind in ("csv", *ARCHIVES))
+        stage, columns = L.stage_round(spark, read_feed(spark, feed, part, org), part, target, there, widen=feed.kind in ("csv", *ARCHIVES))
     except Exception:
         half = len(batches) // 2
-        load_round(spark, feed, batches[:half], target, org)
-        return load_round(spark, feed, batches[half:], target, org)
-    return L.finish_round(spark, target, stage, list(named))
+        there = load_round(spark, feed, batches[:half], target, there, org)
+        return load_round(spark, feed, batches[half:], target, there, org)
+    L.finish_round(spark, target, stage, list(named))
+    return columns
 
 
 def load_files(spark: SparkSession, feed: Feed, new: DataFrame, opened: DataFrame, target: str, reader: Reader | None = None, org: str = "") -> int:
     """Load what `feed_files` has found, in batches of `feed.batch` files or members; names come to the driver, no more."""
     files, archives = sorted(new.collect(), key=lambda r: r["file_path"]), sorted(opened.collect(), key=lambda r: r["path"])
-    for batches in rounds(files, feed.batch or max(len(files), 1)):
-        if reader is None:
-            load_round(spark, feed, batches, target, org)
-        else:
-            for batch in batches:
-                load_batch(spark, feed, batch, target, reader, org)
+    todo = rounds(files, feed.batch or max(len(files), 1))
+    if todo and reader is None:
+        # the ledger is asked once, not by every round: it has a file for each batch
+        known, there = L.known_batches(spark, target, [_name(b) for batches in todo for b in batches]), L.table_schema(spark, target)
+        for batches in todo:
+            if fresh := [b for b in batches if _name(b) not in known]:
+                there = load_round(spark, feed, fresh, target, there, org)
+    else:
+        for batch in (b for batches in todo for b in batches):
+            load_batch(spark, feed, batch, target, reader, org)
     if archives:
         names = [f"{r['path']} {r['size']} {r['modified']}" for r in archives]
         L.publish(spark, None, spark.createDataFrame(archives, FILES), target, L.batch_name(names))
@@ -200,7 +203,8 @@ def _load_sheets(spark: SparkSession, feeds: list[Feed], batches: list[list], wa
         if fresh:
             files = _round_files(spark, fresh)
             rows = tidy.filter(F.col("table") == f.sheet.table).drop("table").join(F.broadcast(files.select("file_path")), "file_path", "left_semi")
-            L.finish_round(spark, targets[f.name], L.stage_round(spark, as_cell_grain(rows, f, org), files, targets[f.name]), list(fresh))
+            stage, _ = L.stage_round(spark, as_cell_grain(rows, f, org), files, targets[f.name], L.table_schema(spark, targets[f.name]))
+            L.finish_round(spark, targets[f.name], stage, list(fresh))
         counts[f.name] += sum(map(len, own.values()))
     wrong.update({t: r["problem"] for t, r in bad.items() if t not in wrong})
     L.delete(spark, folder)

@@ -13,23 +13,29 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from feedlake.sinks import path_exists
+from feedlake.sinks import path_class, path_exists
+from feedlake.sources.store import few_list_tasks
 
 from .naming import align_by_name
 
 LEDGER = "file_path string, archive string, member string, size bigint, modified timestamp, n_rows bigint, batch string, columns string"
 READY = "_READY"
+#: A folder in a batch that isn't ready yet; it becomes READY by a rename.
+MARK = "_MARK"
+#: Threads that bring staged batches into folders of their own.
+MOVERS = 8
 #: Column and folders by which staged rows of several batches are told apart.
 BATCH = "__batch"
 
 
 def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p = path_class(spark._jvm)(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
@@ -45,7 +51,7 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def rename(spark: SparkSession, old: str, new: str) -> None:
     fs, p = _fs(spark, old)
-    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    target = path_class(spark._jvm)(new)
     fs.mkdirs(target.getParent())
     if not fs.rename(p, target):
         raise OSError(f"{old} can't be renamed to {new}")
@@ -141,7 +147,9 @@ def _fit(rows: DataFrame, there: StructType | None, widen: bool) -> DataFrame:
 
 def _counted(spark: SparkSession, files: DataFrame, schema: StructType, data: str) -> DataFrame:
     """Ledger rows with the number of staged rows of each file."""
-    counts = spark.read.schema(schema).parquet(data).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    with few_list_tasks(spark):
+        rows = spark.read.schema(schema).parquet(data)
+    counts = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
     return files.join(counts, "file_path", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0))).withColumn("columns", F.lit(schema.json()))
 
 
@@ -167,13 +175,12 @@ def publish(spark: SparkSession, rows: DataFrame | None, files: DataFrame, targe
     _finish(spark, target, batch)
 
 
-def stage_round(spark: SparkSession, rows: DataFrame, files: DataFrame, target: str, widen: bool = False) -> str:
-    """Write the rows of several batches and their ledger rows `files` (as for `publish`, with `batch`) by one job each; the folder, for `finish_round`.
+def stage_round(spark: SparkSession, rows: DataFrame, files: DataFrame, target: str, there: StructType | None, widen: bool = False) -> tuple[str, StructType]:
+    """Write the rows of several batches and their ledger rows `files` (as for `publish`, with `batch`) by one job each; the folder, for `finish_round`, and the columns of the table with this round.
 
-    Rows are dealt to batches by their file_path; one that no file has is an error.
+    `there` are its columns before (see `table_schema`). Rows are dealt to batches by their file_path; one that no file has is an error.
     """
     stage = f"{target}/_staging/round-{uuid.uuid4().hex[:16]}"
-    there = table_schema(spark, target)
     rows = _fit(rows, there, widen)
     own = F.broadcast(files.groupBy(F.col("file_path").alias("__path")).agg(F.min("batch").alias(BATCH)))
     stray = F.raise_error(F.concat(F.lit("rows of a file that isn't in the round: "), F.col("file_path"))).cast("string")
@@ -182,21 +189,33 @@ def stage_round(spark: SparkSession, rows: DataFrame, files: DataFrame, target:
     if there is None:  # a table has a file, though it may have no rows
         rows.limit(0).write.parquet(f"{stage}/none")
     known = _counted(spark, files.select("file_path", "archive", "member", "size", "modified", "batch"), rows.schema, f"{stage}/data")
-    align_by_name(known, StructType.fromDDL(LEDGER)).withColumn(BATCH, F.col("batch")).coalesce(1).write.partitionBy(BATCH).parquet(f"{stage}/ledger")
-    return stage
+    # a batch has a file of its own here, so tasks share them; one task would write them one by one
+    known = align_by_name(known, StructType.fromDDL(LEDGER)).withColumn(BATCH, F.col("batch")).repartition(max(2, spark.sparkContext.defaultParallelism), BATCH)
+    known.write.partitionBy(BATCH).parquet(f"{stage}/ledger")
+    return stage, rows.schema
 
 
 def finish_round(spark: SparkSession, target: str, stage: str, batches: list[str]) -> None:
-    """Mark and move the batches of a staged round, one after the other."""
-    for batch in batches:
+    """Mark and move the batches of a staged round, one after the other; what comes ahead of their marks is done for several at once."""
+    staged = {folder: set(_children(spark, f"{stage}/{folder}")) for folder in ("data", "ledger")}
+    rest, none = set(_children(spark, f"{target}/_staging")), path_exists(spark, f"{stage}/none")
+
+    def part(batch: str) -> None:
         own = f"{target}/_staging/{batch}"
-        delete(spark, own)
-        for folder in ("data", "ledger"):
-            if path_exists(spark, f"{stage}/{folder}/{BATCH}={batch}"):
+        if batch in rest:
+            delete(spark, own)
+        fs, mark = _fs(spark, f"{own}/{MARK}")
+        fs.mkdirs(mark)
+        for folder, names in staged.items():
+            if f"{BATCH}={batch}" in names:
                 rename(spark, f"{stage}/{folder}/{BATCH}={batch}", f"{own}/{folder}")
-        if batch == batches[0] and path_exists(spark, f"{stage}/none") and not path_exists(spark, f"{own}/data"):
+        if batch == batches[0] and none and f"{BATCH}={batch}" not in staged["data"]:
             rename(spark, f"{stage}/none", f"{own}/data")
-        _mark(spark, own)
+
+    with ThreadPool(MOVERS) as pool:
+        pool.map(part, batches)
+    for batch in batches:
+        rename(spark, f"{target}/_staging/{batch}/{MARK}", f"{target}/_staging/{batch}/{READY}")
         _finish(spark, target, batch)
     delete(spark, stage)
 

@@ -17,7 +17,7 @@ from feedlake.functions.paths import plain_path
 from feedlake.functions.text import snake_case
 from feedlake.operators.naming import header_names, unique_names
 
-from .store import list_files, open_file
+from .store import few_list_tasks, list_files, open_file
 
 #: Files up to this size are read by one task anyway, so whether quotes run over line ends needs no look at them.
 WHOLE = 128 << 20
@@ -58,7 +58,9 @@ def quoted_line_ends(spark: SparkSession, paths: list[str]) -> set[str]:
     """
     if not paths:
         return set()
-    lines = spark.read.text(paths).select("value", plain_path(F.col("_metadata.file_path")).alias("path"))
+    with few_list_tasks(spark):
+        lines = spark.read.text(paths)
+    lines = lines.select("value", plain_path(F.col("_metadata.file_path")).alias("path"))
     closed = F.regexp_replace("value", r'(^|,) *"([^"]|"")*"(?=\s*(,|$))', "$1")
     found = lines.groupBy("path").agg(F.bool_or(closed.rlike(r'(^|,) *"')).alias("open")).filter("open")
     return {r["path"] for r in found.collect()}
@@ -87,7 +89,9 @@ def read_csv_union(spark: SparkSession, paths: list[str] | str, normalize: bool
         names = [snake_case(n) or n for n in names] if normalize else [n.upper() for n in names]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in unique_names(names)])
         reader = spark.read.option("escape", '"').option("multiLine", multiline).option("mode", "DROPMALFORMED").option("columnPruning", False)
-        rows = reader.schema(schema).option("header", True).csv(sorted(files)).select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
+        with few_list_tasks(spark):
+            rows = reader.schema(schema).option("header", True).csv(sorted(files))
+        rows = rows.select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
         if multiline and padded:
             cells = zip(schema.names, header, strict=True)
             rows = rows.filter(~reduce(lambda a, b: a & b, [F.col(f"`{n}`").eqNullSafe(F.lit(h or None)) for n, h in cells]))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from feedlake.functions.paths import plain_path
 from feedlake.plans.defs import Layout
 
+from .store import few_list_tasks
+
 
 def slice_columns(layout: Layout, line: Column | None = None) -> list[Column]:
     """The trimmed fields of a line, by running offset; field names may repeat."""
@@ -21,11 +23,12 @@ def slice_columns(layout: Layout, line: Column | None = None) -> list[Column]:
 
 def read_lines(spark: SparkSession, paths: list[str] | str, header: bool = False) -> DataFrame:
     """(value, file_path): every line of the files, or every line behind each file's first."""
-    if header:
-        reader = spark.read.schema("value string").option("header", True).option("enforceSchema", True)
-        lines = reader.csv(paths, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    else:
-        lines = spark.read.text(paths)
+    with few_list_tasks(spark):
+        if header:
+            reader = spark.read.schema("value string").option("header", True).option("enforceSchema", True)
+            lines = reader.csv(paths, sep="\u0001", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        else:
+            lines = spark.read.text(paths)
     return lines.select("value", plain_path(F.col("_metadata.file_path")).alias("file_path"))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.paths import plain_path
 
+from .store import few_list_tasks
+
 LISTING = "file_path string, source_path string, length bigint, modified timestamp"
 
 
@@ -22,7 +24,8 @@ def discover(spark: SparkSession, root: str, glob: str, missing_ok: bool = True)
     raises DiscoveryError, so that a store which can't be listed never looks empty.
     """
     try:
-        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{glob}")
+        with few_list_tasks(spark):
+            files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{glob}")
         return files.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("path").alias("source_path"), "length", F.col("modificationTime").alias("modified"))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND" and missing_ok:

@@ -8,10 +8,13 @@ from pyspark.sql import types as T
 
 from feedlake.functions.paths import plain_path
 
+from .store import few_list_tasks
+
 
 def read_xml_documents(spark: SparkSession, paths: list[str] | str, row_tag: str, schema: T.StructType | str) -> DataFrame:
     """One row for each document; arrays in the schema say what repeats, however often it does. Adds file_path."""
-    docs = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(paths)
+    with few_list_tasks(spark):
+        docs = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(paths)
     return docs.select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
 
 

@@ -12,6 +12,7 @@ from feedlake.operators.lineage import split_stamped
 from feedlake.plans.defs import Feed
 from feedlake.sinks import path_exists
 from feedlake.sources.listing import LISTING
+from feedlake.sources.store import few_list_tasks
 
 
 def stream_files(spark: SparkSession, root: str, glob: str, max_files_per_trigger: int = 25) -> DataFrame:
@@ -47,7 +48,8 @@ def load_listing(spark: SparkSession, feed: Feed, listing: DataFrame, target: st
 def load_pending(spark: SparkSession, feed: Feed, target: str, pending: str, org: str = "") -> None:
     """Load the files that triggers have noted below `pending`, then forget the notes; files that were loaded before a run died are in the ledger."""
     if path_exists(spark, pending):
-        notes = spark.read.schema(LISTING).option("recursiveFileLookup", True).parquet(pending)
+        with few_list_tasks(spark):
+            notes = spark.read.schema(LISTING).option("recursiveFileLookup", True).parquet(pending)
         last = notes.groupBy("file_path").agg(F.max(F.struct("modified", "source_path", "length")).alias("f"))
         load_listing(spark, feed, last.select("file_path", "f.source_path", "f.length", "f.modified"), target, org)
         L.delete(spark, pending)
@@ -72,7 +74,8 @@ def stream_ingest(spark: SparkSession, feed: Feed, root: str, target: str, check
             load_pending(listing.sparkSession, feed, target, pending, org)
             waiting = 0
 
-    query = stream_files(spark, root, feed.glob, max_files_per_trigger).writeStream.foreachBatch(note).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with few_list_tasks(spark):  # the stream's session is a copy of this one as it starts
+        query = stream_files(spark, root, feed.glob, max_files_per_trigger).writeStream.foreachBatch(note).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     load_pending(spark, feed, target, pending, org)
     return loaded_rows(spark, target) - before

@@ -141,3 +141,33 @@ def test_tasks_get_their_own_members_only(spark, tmp_path):
     rows = zip_feed.scan_members(spark, [(path, path, m, 10) for m in ("x.csv", "y.csv")], part_bytes=1, columns=["B", "A"])
     assert sorted((r["member"], r["row_no"], tuple(r["cells"])) for r in rows.filter("row_no > 0").collect()) == [("x.csv", 1, ("2", "1")), ("y.csv", 1, (None, "3"))]
     assert rows.rdd.getNumPartitions() == 2
+
+
+def test_rounds_ask_the_ledger_once(spark, tmp_path, monkeypatch):
+    root, target = tmp_path / "in", str(tmp_path / "out")
+    for k in range(8):
+        put(root, f"a{k}.zip", archive(x=f"k,c{k}\n{k},y\n"))
+    monkeypatch.setattr(I, "ROUND_FILES", 2)
+    asked = [counted(monkeypatch, ledger, n) for n in ("known_batches", "table_schema")]
+    assert I.ingest(spark, Feed("z", "*.zip", "zip_csv", dates="load", batch=1), str(root), target) == 8
+    assert [len(a) for a in asked] == [2, 1]  # the second time for the row of opened archives
+    rows = ledger.read_table(spark, target)
+    assert sorted((r["K"], *(r[f"C{c}"] for c in range(8))) for r in rows.collect()) == [(str(k), *("y" if c == k else None for c in range(8))) for k in range(8)]
+    assert batches(spark, target) == [1] * 8
+
+
+def test_many_paths_are_listed_by_few_tasks(spark, tmp_path):
+    from feedlake.sources import listing, store
+
+    for k in range(store.LIST_TASKS + 16):
+        put(tmp_path, f"{k}.txt", f"{k} x\n")
+    before = spark.conf.get(store._LIST_SETTING)
+    spark.sparkContext.setJobGroup("lists", "lists")
+    try:
+        found = listing.discover(spark, str(tmp_path), "*.txt")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("lists") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= store.LIST_TASKS
+    assert found.count() == store.LIST_TASKS + 16 and spark.conf.get(store._LIST_SETTING) == before
