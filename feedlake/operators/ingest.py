@@ -26,6 +26,8 @@ ARCHIVES = ("zip_csv", "quality")
 FILES = "file_path string, archive string, member string, path string, source string, reader_path string, size bigint, modified timestamp, packed bigint"
 #: Small batches are read and staged together, up to so many files or bytes as they are stored; a batch beyond that goes alone.
 ROUND_FILES, ROUND_BYTES = 2000, 1 << 30
+#: Bytes as stored up to which a round is small: a batch of it may be written by one task.
+SMALL_BYTES = 64 << 20
 
 
 def loaded_paths(target: DataFrame) -> DataFrame:
@@ -68,12 +70,20 @@ def load_batch(spark: SparkSession, feed: Feed, files: list, target: str, reader
     L.publish(spark, rows, part, target, _name(files), widen=feed.kind in ("csv", *ARCHIVES))
 
 
+def _weight(batch: list) -> int:
+    return sum(r["packed"] or r["size"] or 0 for r in batch)
+
+
+def _small(batches: list[list]) -> bool:
+    return sum(map(_weight, batches)) <= SMALL_BYTES
+
+
 def rounds(files: list, size: int) -> list[list[list]]:
     """Batches of `size` files (rows of FILES), grouped by what is read and staged together."""
     out, n, held = [], 0, 0
     for k in range(0, len(files), size):
         batch = files[k : k + size]
-        weight = sum(r["packed"] or r["size"] or 0 for r in batch)
+        weight = _weight(batch)
         if not out or n + len(batch) > ROUND_FILES or held + weight > ROUND_BYTES:
             out, n, held = [*out, []], 0, 0
         out[-1].append(batch)
@@ -100,7 +110,7 @@ def load_round(spark: SparkSession, feed: Feed, batches: list[list], target: str
     named = {_name(b): b for b in batches}
     part = _round_files(spark, named)
     try:
-        stage, columns = L.stage_round(spark, read_feed(spark, feed, part, org), part, target, there, widen=feed.kind in ("csv", *ARCHIVES))
+        stage, columns = L.stage_round(spark, read_feed(spark, feed, part, org), part, target, there, feed.kind in ("csv", *ARCHIVES), _small(batches))
     except Exception:
         half = len(batches) // 2
         there = load_round(spark, feed, batches[:half], target, there, org)
@@ -203,7 +213,7 @@ def _load_sheets(spark: SparkSession, feeds: list[Feed], batches: list[list], wa
         if fresh:
             files = _round_files(spark, fresh)
             rows = tidy.filter(F.col("table") == f.sheet.table).drop("table").join(F.broadcast(files.select("file_path")), "file_path", "left_semi")
-            stage, _ = L.stage_round(spark, as_cell_grain(rows, f, org), files, targets[f.name], L.table_schema(spark, targets[f.name]))
+            stage, _ = L.stage_round(spark, as_cell_grain(rows, f, org), files, targets[f.name], L.table_schema(spark, targets[f.name]), small=_small(list(fresh.values())))
             L.finish_round(spark, targets[f.name], stage, list(fresh))
         counts[f.name] += sum(map(len, own.values()))
     wrong.update({t: r["problem"] for t, r in bad.items() if t not in wrong})

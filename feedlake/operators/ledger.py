@@ -57,6 +57,16 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} can't be renamed to {new}")
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with this text, in place of any there."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def read_ledger(spark: SparkSession, target: str) -> DataFrame:
     """The ledger of a table; an empty one where there is none."""
     if path_exists(spark, f"{target}/_ledger"):
@@ -175,23 +185,31 @@ def publish(spark: SparkSession, rows: DataFrame | None, files: DataFrame, targe
     _finish(spark, target, batch)
 
 
-def stage_round(spark: SparkSession, rows: DataFrame, files: DataFrame, target: str, there: StructType | None, widen: bool = False) -> tuple[str, StructType]:
+def _write_staged(rows: DataFrame, path: str) -> None:
+    """Parquet by batch; tasks put their files in place themselves, as nobody reads them before the round is marked."""
+    rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(BATCH).parquet(path)
+
+
+def stage_round(spark: SparkSession, rows: DataFrame, files: DataFrame, target: str, there: StructType | None, widen: bool = False, small: bool = False) -> tuple[str, StructType]:
     """Write the rows of several batches and their ledger rows `files` (as for `publish`, with `batch`) by one job each; the folder, for `finish_round`, and the columns of the table with this round.
 
     `there` are its columns before (see `table_schema`). Rows are dealt to batches by their file_path; one that no file has is an error.
+    With `small`, tasks share the batches: a plan over few rows may end in one task, which would write file after file.
     """
+    tasks = max(2, spark.sparkContext.defaultParallelism)
     stage = f"{target}/_staging/round-{uuid.uuid4().hex[:16]}"
     rows = _fit(rows, there, widen)
     own = F.broadcast(files.groupBy(F.col("file_path").alias("__path")).agg(F.min("batch").alias(BATCH)))
     stray = F.raise_error(F.concat(F.lit("rows of a file that isn't in the round: "), F.col("file_path"))).cast("string")
     dealt = rows.join(own, F.col("file_path") == F.col("__path"), "left").drop("__path").withColumn(BATCH, F.coalesce(BATCH, stray))
-    dealt.write.partitionBy(BATCH).parquet(f"{stage}/data")
+    if small:
+        dealt = dealt.repartition(tasks, BATCH)
+    _write_staged(dealt, f"{stage}/data")
     if there is None:  # a table has a file, though it may have no rows
         rows.limit(0).write.parquet(f"{stage}/none")
     known = _counted(spark, files.select("file_path", "archive", "member", "size", "modified", "batch"), rows.schema, f"{stage}/data")
-    # a batch has a file of its own here, so tasks share them; one task would write them one by one
-    known = align_by_name(known, StructType.fromDDL(LEDGER)).withColumn(BATCH, F.col("batch")).repartition(max(2, spark.sparkContext.defaultParallelism), BATCH)
-    known.write.partitionBy(BATCH).parquet(f"{stage}/ledger")
+    known = align_by_name(known, StructType.fromDDL(LEDGER)).withColumn(BATCH, F.col("batch"))
+    _write_staged(known.repartition(tasks, BATCH), f"{stage}/ledger")
     return stage, rows.schema
 
 

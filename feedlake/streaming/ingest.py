@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,13 @@ from feedlake.operators.ingest import ROUND_FILES, feed_files, load_files
 from feedlake.operators.lineage import split_stamped
 from feedlake.plans.defs import Feed
 from feedlake.sinks import path_exists
-from feedlake.sources.listing import LISTING
 from feedlake.sources.store import few_list_tasks
 
 
+#: A trigger's note: a line for each of its files, times in microseconds.
+NOTE = "file_path string, source_path string, length bigint, micros bigint"
+
+
 def stream_files(spark: SparkSession, root: str, glob: str, max_files_per_trigger: int = 25) -> DataFrame:
     """A stream of the listing (see `discover`) of new files below root, contents unread; a glob without folders fits at any depth."""
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("maxFilesPerTrigger", max_files_per_trigger)
@@ -49,8 +54,8 @@ def load_pending(spark: SparkSession, feed: Feed, target: str, pending: str, org
     """Load the files that triggers have noted below `pending`, then forget the notes; files that were loaded before a run died are in the ledger."""
     if path_exists(spark, pending):
         with few_list_tasks(spark):
-            notes = spark.read.schema(LISTING).option("recursiveFileLookup", True).parquet(pending)
-        last = notes.groupBy("file_path").agg(F.max(F.struct("modified", "source_path", "length")).alias("f"))
+            notes = spark.read.schema(NOTE).option("mode", "FAILFAST").json(pending)
+        last = notes.withColumn("modified", F.timestamp_micros("micros")).groupBy("file_path").agg(F.max(F.struct("modified", "source_path", "length")).alias("f"))
         load_listing(spark, feed, last.select("file_path", "f.source_path", "f.length", "f.modified"), target, org)
         L.delete(spark, pending)
 
@@ -68,7 +73,9 @@ def stream_ingest(spark: SparkSession, feed: Feed, root: str, target: str, check
 
     def note(listing: DataFrame, trigger: int) -> None:
         nonlocal waiting
-        listing.coalesce(1).write.mode("overwrite").parquet(f"{pending}/{trigger}")
+        # a trigger's few names as one small file: a job that writes them takes longer than all else of a trigger
+        names = listing.select("file_path", "source_path", "length", F.unix_micros("modified").alias("micros")).collect()
+        L.put_text(spark, f"{pending}/{trigger}.json", "".join(json.dumps(r.asDict()) + "\n" for r in names))
         waiting += max_files_per_trigger
         if waiting >= ROUND_FILES:
             load_pending(listing.sparkSession, feed, target, pending, org)

@@ -171,3 +171,22 @@ def test_many_paths_are_listed_by_few_tasks(spark, tmp_path):
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("lists") for s in tracker.getJobInfo(j).stageIds]
     assert stages and max(s.numTasks for s in stages) <= store.LIST_TASKS
     assert found.count() == store.LIST_TASKS + 16 and spark.conf.get(store._LIST_SETTING) == before
+
+
+def test_a_trigger_leaves_one_small_note_with_exact_times(spark, tmp_path, monkeypatch):
+    import json
+    import os
+
+    from feedlake.streaming import ingest as S
+
+    root, target, check = tmp_path / "in", str(tmp_path / "out"), tmp_path / "check"
+    for k in range(3):
+        put(root, f'é"{k}.txt', f"{k} x\n")
+    with monkeypatch.context() as m:
+        m.setattr(S, "load_pending", lambda *_, **__: None)
+        assert S.stream_ingest(spark, LINES, str(root), target, str(check), max_files_per_trigger=2) == 0
+    notes = [json.loads(line) for n in (check / "pending").glob("*.json") for line in n.read_text().splitlines()]
+    assert len(list((check / "pending").glob("*.json"))) == 2
+    assert {n["file_path"]: n["micros"] // 1000 for n in notes} == {str(f): os.stat(f).st_mtime_ns // 10**6 for f in root.iterdir()}
+    assert S.stream_ingest(spark, LINES, str(root), target, str(check), max_files_per_trigger=2) == 3
+    assert sorted(r["k"] for r in ledger.read_table(spark, target).collect()) == ["0", "1", "2"]
