@@ -85,7 +85,8 @@ def rounds(files: list, size: int) -> list[list[list]]:
         batch = files[k : k + size]
         weight = _weight(batch)
         if not out or n + len(batch) > ROUND_FILES or held + weight > ROUND_BYTES:
-            out, n, held = [*out, []], 0, 0
+            out.append([])
+            n, held = 0, 0
         out[-1].append(batch)
         n, held = n + len(batch), held + weight
     return out

@@ -28,6 +28,8 @@ from .store import list_files, open_file
 LINES, PART = 5000, 64 << 20
 #: What a member counts for at least when tables of members are dealt to tasks: opening it takes time too.
 OPEN = 256 << 10
+#: Tasks that read members at most: a task takes about as long to start as to read some hundred kilobytes, so beyond that each reads more.
+TASKS = 5000
 ROWS = "archive string, member string, row_no bigint, cells array<string>"
 
 
@@ -131,7 +133,10 @@ class MemberPart(InputPartition):
 
 
 class MemberReader(DataSourceReader):
-    """Small members share a task, a large one has its own; each is unpacked in pieces of LINES records."""
+    """Small members share a task, a large one has its own; each is unpacked in pieces of LINES records.
+
+    Where parts of partBytes would be more than TASKS, their size is doubled until they aren't.
+    """
 
     def __init__(self, options: dict[str, str]):
         self.members = [tuple(m) for m in json.loads(options["members"])]
@@ -142,13 +147,20 @@ class MemberReader(DataSourceReader):
         """What every task gets: the list of all members isn't among it, as a task's part has its own."""
         return {"columns": self.columns}
 
-    def partitions(self) -> list[MemberPart]:
-        parts, size = [], None
+    def _parts(self, limit: int) -> list[list[tuple]]:
+        parts, size = [], 0
         for *where, packed in self.members:
-            if size is None or size + packed > self.part:
-                parts, size = [*parts, []], 0
+            if not parts or size + packed > limit:
+                parts.append([])
+                size = 0
             parts[-1].append(tuple(where))
             size += packed
+        return parts
+
+    def partitions(self) -> list[MemberPart]:
+        limit = max(self.part, 1)
+        while len(parts := self._parts(limit)) > TASKS:
+            limit *= 2
         return [MemberPart(p) for p in parts]
 
     def read(self, partition: MemberPart) -> Iterator[pa.RecordBatch]:

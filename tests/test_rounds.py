@@ -190,3 +190,19 @@ def test_a_trigger_leaves_one_small_note_with_exact_times(spark, tmp_path, monke
     assert {n["file_path"]: n["micros"] // 1000 for n in notes} == {str(f): os.stat(f).st_mtime_ns // 10**6 for f in root.iterdir()}
     assert S.stream_ingest(spark, LINES, str(root), target, str(check), max_files_per_trigger=2) == 3
     assert sorted(r["k"] for r in ledger.read_table(spark, target).collect()) == ["0", "1", "2"]
+
+
+def test_tasks_that_read_members_have_a_bound(monkeypatch):
+    import json
+
+    from feedlake.sources import zip_feed
+
+    sizes = [10, 10, 10, 10, 500, 10, 10, 10, 10]
+    members = [[f"/{k}.zip", f"/{k}.zip", "x.csv", s] for k, s in enumerate(sizes)]
+    parts = lambda: [[m[0] for m in p.members] for p in zip_feed.MemberReader({"members": json.dumps(members), "partBytes": "10"}).partitions()]
+    assert [len(p) for p in parts()] == [1] * 9
+    monkeypatch.setattr(zip_feed, "TASKS", 5)
+    assert [len(p) for p in parts()] == [2, 2, 1, 2, 2]
+    assert [m for p in parts() for m in p] == [m[0] for m in members]
+    monkeypatch.setattr(zip_feed, "TASKS", 1)
+    assert [len(p) for p in parts()] == [9]
