@@ -16,7 +16,8 @@ def directory_name(path: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, "([^/]+)$", 1)
+    """What is behind the last slash; it is asked for each row, and a pattern bound to the end only would be tried from each letter of a path."""
+    return F.substring_index(path, "/", -1)
 
 
 def short_stamp_date(path: Column) -> Column:

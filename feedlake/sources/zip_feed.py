@@ -46,6 +46,13 @@ def _open(handle: str | bytes) -> zipfile.ZipFile:
     return zipfile.ZipFile(open_file(handle) if isinstance(handle, str) else io.BytesIO(handle))
 
 
+def _dealt(archives: DataFrame) -> DataFrame:
+    """Archives that tasks open, dealt to as many as there are cores: their rows are short, so that an adaptive plan would open all of them in one task."""
+    if _handle(archives) == "content":
+        return archives
+    return archives.repartition(max(2, archives.sparkSession.sparkContext.defaultParallelism), "path")
+
+
 def list_members(archives: DataFrame) -> DataFrame:
     """(archive, member, size, packed, attributes, error) from each archive's directory, which is all that is read of it."""
 
@@ -60,7 +67,7 @@ def list_members(archives: DataFrame) -> DataFrame:
                     rows.append((path, None, None, None, None, str(e)))
             yield pd.DataFrame(rows, columns=["archive", "member", "size", "packed", "attributes", "error"])
 
-    return archives.select("path", _handle(archives)).mapInPandas(run, "archive string, member string, size bigint, packed bigint, attributes bigint, error string")
+    return _dealt(archives.select("path", _handle(archives))).mapInPandas(run, "archive string, member string, size bigint, packed bigint, attributes bigint, error string")
 
 
 def audit_members(members: DataFrame) -> DataFrame:
@@ -236,7 +243,7 @@ def member_headers(archives: DataFrame, members: DataFrame) -> DataFrame:
                         rows.append({"archive": path, "member": m["member"], "header": header, "source": source if isinstance(source, str) else None, "packed": m["packed"]})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("archive", pa.string()), ("member", pa.string()), ("header", pa.list_(pa.string())), ("source", pa.string()), ("packed", pa.int64())]))
 
-    return both.mapInArrow(run, "archive string, member string, header array<string>, source string, packed bigint")
+    return _dealt(both).mapInArrow(run, "archive string, member string, header array<string>, source string, packed bigint")
 
 
 def read_zip_csv(archives: DataFrame, members: DataFrame) -> DataFrame:

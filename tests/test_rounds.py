@@ -206,3 +206,20 @@ def test_tasks_that_read_members_have_a_bound(monkeypatch):
     assert [m for p in parts() for m in p] == [m[0] for m in members]
     monkeypatch.setattr(zip_feed, "TASKS", 1)
     assert [len(p) for p in parts()] == [9]
+
+
+def test_archives_are_opened_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from feedlake.sources import zip_feed
+
+    for k in range(40):
+        put(tmp_path, f"{k}.zip", archive(x=f"a\n{k}\n"))
+    # rows behind a shuffle, as those of a listing without what the ledger has
+    archives = zip_feed.read_archives(spark, str(tmp_path)).select("path", "source").distinct()
+    members = spark.createDataFrame([(r["path"], "x.csv") for r in archives.collect()], "archive string, member string")
+    listed, heads = zip_feed.list_members(archives), zip_feed.member_headers(archives, members)
+    for rows in (listed, heads):
+        found = rows.select("archive", "member", F.spark_partition_id().alias("task")).collect()
+        assert len(found) == len({r["archive"] for r in found}) == 40 and {r["member"] for r in found} == {"x.csv"}
+        assert len({r["task"] for r in found}) > 1
